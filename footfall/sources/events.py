@@ -42,8 +42,12 @@ def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_events_as_raw(
     spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same as a stream of files."""
+    """The same as a stream of files.
+
+    The path is written as a pattern because a stream takes a folder or a pattern, and the table
+    may be a folder of files or a single file.
+    """
     reader = spark.readStream.schema(EVENTS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return event_key_columns(reader.parquet(f"{sf_dir}/events.parquet")).select(*RAW.names)
+    return event_key_columns(reader.parquet(f"{sf_dir}/events.parque[t]")).select(*RAW.names)
