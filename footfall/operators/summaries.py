@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.measures import BEHAVIORS, amount, behavior_counts, count_name
@@ -20,12 +20,41 @@ def daily_summary(detail: DataFrame, key: str) -> DataFrame:
     return conform(behavior_counts(detail, key, "event_date"), _TABLE_OF[key])
 
 
+def hourly_measures(
+    detail: DataFrame, *keys: str, users: str, **measures: Column
+) -> DataFrame:
+    """Summed ``measures`` and distinct ``users`` per ``keys`` and hour of day.
+
+    A user's active hours are gathered as the bits of one integer, so that the shuffle for the
+    distinct users carries one row per user and key, not one per user, key and hour. The sums
+    need no user and collapse to a few rows before their own shuffle.
+    """
+    sums = detail.groupBy(*keys, "event_hour").agg(
+        *(F.sum(column).alias(name) for name, column in measures.items())
+    )
+    active = (
+        detail.filter(F.col("user_id").isNotNull())
+        .groupBy(*keys, "user_id")
+        .agg(F.bit_or(F.expr("shiftleft(1, event_hour)")).alias("hours"))
+    )
+    totals = active.groupBy(*keys).agg(
+        *(F.sum(F.getbit("hours", F.lit(h))).alias(f"h{h}") for h in range(24))
+    )
+    per_hour = [
+        F.struct(F.lit(h).alias("event_hour"), F.col(f"h{h}").alias(users)) for h in range(24)
+    ]
+    seen = totals.select(*keys, F.inline(F.array(*per_hour))).filter(F.col(users) > 0)
+    return (
+        sums.unionByName(seen, allowMissingColumns=True)
+        .groupBy(*keys, "event_hour")
+        .agg(*(F.sum(name).alias(name) for name in (*measures, users)))
+    )
+
+
 def hourly_summary(detail: DataFrame) -> DataFrame:
     """The four behaviour counts and the distinct users per day and hour."""
+    counts = {count_name(b): amount(detail, b) for b in BEHAVIORS}
     return conform(
-        detail.groupBy("event_date", "event_hour").agg(
-            *(F.sum(amount(detail, b)).alias(count_name(b)) for b in BEHAVIORS),
-            F.count_distinct("user_id").alias("uv_count"),
-        ),
+        hourly_measures(detail, "event_date", users="uv_count", **counts),
         "dws.hourly_behavior",
     )

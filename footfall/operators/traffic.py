@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import clock
 from footfall.functions.measures import BEHAVIORS, amount, behavior_counts, count_name, ratio
+from footfall.operators.summaries import hourly_measures
 from footfall.schemas import conform
 
 
@@ -54,15 +55,13 @@ def hourly_distribution(
     detail: DataFrame, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Per hour of day: page views, users of any behaviour, carts, purchases."""
-    hours = (
-        clock.in_date_range(detail, start, end)
-        .groupBy("event_hour")
-        .agg(
-            F.sum(amount(detail, "pv")).alias("pv"),
-            F.count_distinct("user_id").alias("uv"),
-            F.sum(amount(detail, "cart")).alias("cart_count"),
-            F.sum(amount(detail, "buy")).alias("buy_count"),
-        )
+    detail = clock.in_date_range(detail, start, end)
+    hours = hourly_measures(
+        detail,
+        users="uv",
+        pv=amount(detail, "pv"),
+        cart_count=amount(detail, "cart"),
+        buy_count=amount(detail, "buy"),
     )
     return conform(hours, "ads.hourly_distribution").orderBy("event_hour")
 
@@ -112,13 +111,12 @@ def heatmap_hour_dow(
     detail: DataFrame, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Per weekday and hour: events of any behaviour (``pv_count``), purchases, users."""
-    cells = (
-        clock.in_date_range(detail, start, end)
-        .groupBy("day_of_week", "event_hour")
-        .agg(
-            F.count("*").alias("pv_count"),
-            F.sum(amount(detail, "buy")).alias("buy_count"),
-            F.count_distinct("user_id").alias("active_users"),
-        )
+    detail = clock.in_date_range(detail, start, end)
+    cells = hourly_measures(
+        detail,
+        "day_of_week",
+        users="active_users",
+        pv_count=F.lit(1),
+        buy_count=amount(detail, "buy"),
     )
     return conform(cells, "ads.heatmap_hour_dow").orderBy("day_of_week", "event_hour")

@@ -29,7 +29,6 @@ def session(
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .config("spark.sql.adaptive.enabled", str(adaptive).lower())
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
     )
     if master:
