@@ -123,5 +123,7 @@ def create_table_ddl(name: str) -> str:
     """``CREATE TABLE`` text for a registered table."""
     body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name])
     parts = PARTITIONED_BY.get(name)
-    clause = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+    clause = " OPTIONS (compression 'snappy', partitionOverwriteMode 'dynamic')"
+    if parts:
+        clause += f" PARTITIONED BY ({', '.join(parts)})"
     return f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{clause}"

@@ -36,26 +36,24 @@ def save(
     parts = PARTITIONED_BY.get(name, ())
     if parts:
         rows = rows.hint("rebalance", *(F.col(p) for p in parts))
+    spark = df.sparkSession
+    if root is None and replace_days_only and spark.catalog.tableExists(name):
+        # an insert takes the overwrite mode from the table, where it was set on creation
+        rows.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        return
+    dynamic = root is None or replace_days_only
     writer = (
         rows.write.format("parquet")
         .option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic" if replace_days_only else "static")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .mode("overwrite")
     )
-    if root is not None:
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.save(table_path(root, name))
-        return
-    spark = df.sparkSession
-    if replace_days_only and spark.catalog.tableExists(name):
-        rows.select(*spark.table(name).columns).write.option(
-            "partitionOverwriteMode", "dynamic"
-        ).mode("overwrite").insertInto(name)
-        return
     if parts:
         writer = writer.partitionBy(*parts)
-    writer.saveAsTable(name)
+    if root is None:
+        writer.saveAsTable(name)
+    else:
+        writer.save(table_path(root, name))
 
 
 def list_tables(spark: SparkSession) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from footfall.functions.clock import in_date_range
 from footfall.schemas import PARTITIONED_BY, RAW, TABLES
@@ -12,35 +15,49 @@ from footfall.schemas import PARTITIONED_BY, RAW, TABLES
 REJECTED = "rejected_line"
 
 
-def _raw_csv(spark: SparkSession, mode: str):
-    # Whole rows are parsed even if a query needs few columns: whether a row is well formed must
-    # not depend on the columns asked for.
+def _text_rows(spark: SparkSession, path: str) -> DataFrame:
+    # Read as text and without column pruning: whether a row is well formed must not depend on
+    # the columns a query asks for.
+    schema = StructType([StructField(c, StringType()) for c in (*RAW.names, REJECTED)])
     return (
-        spark.read.option("header", False).option("columnPruning", False).option("mode", mode)
+        spark.read.option("header", False)
+        .option("columnPruning", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .schema(schema)
+        .csv(path)
     )
 
 
+def _typed() -> list[Column]:
+    return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW]
+
+
+def _well_formed() -> Column:
+    """Exactly the five fields, each of its type or empty."""
+    readable = [F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull() for f in RAW]
+    return reduce(and_, readable, F.col(REJECTED).isNull())
+
+
 def load_raw(spark: SparkSession, path: str, drop_malformed: bool = False) -> DataFrame:
     """Headerless five-column event CSV with the declared schema, never inferred.
 
-    Fields that do not parse become null (and are removed by cleaning), or the whole row is
-    dropped if its fields are not exactly the five expected.
+    Fields that do not parse become null (and are removed by cleaning), or with
+    ``drop_malformed`` every row is dropped whose fields are not exactly the five expected.
     """
-    mode = "DROPMALFORMED" if drop_malformed else "PERMISSIVE"
-    return _raw_csv(spark, mode).schema(RAW).csv(path)
+    if drop_malformed:
+        return _text_rows(spark, path).filter(_well_formed()).select(*_typed())
+    return spark.read.option("header", False).schema(RAW).csv(path)
 
 
 def split_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The well-formed rows, and the text of the lines that are not."""
-    schema = StructType(RAW.fields).add(REJECTED, StringType())
-    rows = (
-        _raw_csv(spark, "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", REJECTED)
-        .schema(schema)
-        .csv(path)
+    lines = _text_rows(spark, path)
+    fields = F.concat_ws(",", *(F.coalesce(F.col(c), F.lit("")) for c in RAW.names))
+    rejected = lines.filter(~_well_formed()).select(
+        F.coalesce(F.col(REJECTED), fields).alias(REJECTED)
     )
-    good = rows.filter(F.col(REJECTED).isNull()).select(*RAW.names)
-    return good, rows.filter(F.col(REJECTED).isNotNull()).select(REJECTED)
+    return lines.filter(_well_formed()).select(*_typed()), rejected
 
 
 def table_path(root: str, name: str) -> str:

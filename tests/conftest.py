@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.sql.warehouse.dir": str(warehouse),
             "spark.driver.memory": "3g",
+            "spark.sql.maxMetadataStringLength": "10000",
         },
     )
     if spark.conf.get("spark.checkpoint.dir", None) is None:
