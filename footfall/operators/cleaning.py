@@ -54,12 +54,11 @@ def clean(
     Of events that differ in category only, the smallest category stays. The calendar fields
     are derived after the duplicates are gone, so only five narrow columns are shuffled.
     """
-    complete = raw
-    for column in RAW.names:
-        complete = complete.filter(F.col(column).isNotNull())
-    accepted = complete.filter(F.col("behavior").isin(*valid)).filter(
+    accepted = raw.filter(F.col("behavior").isin(*valid)).filter(
         clock.within_days(F.col("timestamp"), start, end, tz)
     )
+    for column in RAW.names:
+        accepted = accepted.filter(F.col(column).isNotNull())
     distinct_events = accepted.groupBy(*EVENT_KEY).agg(F.min("category_id").alias("category_id"))
     local = distinct_events.withColumn("local", clock.local_time(F.col("timestamp"), tz))
     return conform(

@@ -16,10 +16,11 @@ from footfall import operators as op
 from footfall import sinks
 from footfall.functions import clock
 from footfall.operators import feeds
+from footfall.schemas import EVENTS
 from footfall.session import scratch_dir
 from footfall.sources import load_raw, read_layer, read_result_csv
 from footfall.sources.events import (
-    EVENTS,
+    event_behaviors,
     event_key_columns,
     events_as_raw,
     stream_events_as_raw,
@@ -158,7 +159,7 @@ def rfm(d: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # load and clean
-    "etl_behavior_share": over_raw(op.behavior_share),
+    "etl_behavior_share": lambda spark, folder: op.behavior_share(event_behaviors(spark, folder)),
     "etl_clean_audit": over_raw(lambda r: op.clean_audit(r, START, END)),
     "etl_detail": detail,
     "etl_rows_per_day": over_detail(lambda d: op.rows_per(d, "event_date").orderBy("event_date")),

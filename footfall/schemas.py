@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DoubleType,
@@ -115,8 +114,7 @@ PARTITIONED_BY = {"dwd.user_behavior_detail": ("event_date",)}
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     """Select the schema's columns in order, cast to its types."""
-    fields = TABLES[schema] if isinstance(schema, str) else schema
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
+    return df.to(TABLES[schema] if isinstance(schema, str) else schema)
 
 
 def create_table_ddl(name: str) -> str:

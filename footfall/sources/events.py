@@ -23,14 +23,29 @@ def _behavior(event_type: Column) -> Column:
 
 
 def event_key_columns(events: DataFrame) -> DataFrame:
-    """The raw event columns together with ``event_id``."""
-    return events.select(
-        "event_id",
-        "user_id",
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("item_id"),
-        _behavior(F.col("event_type")).alias("behavior"),
-        F.unix_timestamp("ts").alias("timestamp"),
-    ).withColumn("category_id", F.expr("item_id div 10"))
+    """The raw event columns together with ``event_id``.
+
+    The item is taken out of ``props`` by a generator, which parses each text once; as a plain
+    expression it would be repeated in every filter and column that uses it.
+    """
+    return (
+        events.select(
+            "event_id",
+            "user_id",
+            F.json_tuple("props", "k").alias("k"),
+            _behavior(F.col("event_type")).alias("behavior"),
+            F.unix_timestamp("ts").alias("timestamp"),
+        )
+        .withColumn("item_id", F.col("k").try_cast("bigint"))
+        .withColumn("category_id", F.expr("item_id div 10"))
+        .drop("k")
+    )
+
+
+def event_behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the behaviour of each event, for reports that need nothing else."""
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return events.select(_behavior(F.col("event_type")).alias("behavior"))
 
 
 def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
