@@ -7,12 +7,18 @@ windows, row-level windows where it aggregates first, integer rounding where it
 from __future__ import annotations
 
 from footfall.functions.labels import REPURCHASE_BUCKETS, SEGMENT_LABELS
-from footfall.plans.registered import END, K_CATEGORIES, K_ITEMS, START
+from footfall.plans.registered import (
+    END,
+    K_CATEGORIES,
+    K_ITEMS,
+    ORDERS_END,
+    ORDERS_START,
+    START,
+)
 
 BEHAVIORS = ("pv", "fav", "cart", "buy")
 
-BASE = f"""
-WITH keyed AS (
+RAW_EVENTS = """keyed AS (
   SELECT event_id, user_id,
          CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS item_id,
          CASE event_type WHEN 'view' THEN 'pv' WHEN 'click' THEN 'fav' WHEN 'signup' THEN 'cart'
@@ -22,14 +28,29 @@ WITH keyed AS (
 ),
 raw AS (
   SELECT user_id, item_id, item_id // 10 AS category_id, behavior, timestamp FROM keyed
-),
+)"""
+
+RAW_ORDERS = """raw AS (
+  SELECT o_custkey AS user_id, l_partkey AS item_id,
+         CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS category_id,
+         CASE l_linenumber % 4 WHEN 0 THEN 'pv' WHEN 1 THEN 'fav' WHEN 2 THEN 'cart'
+                               ELSE 'buy' END AS behavior,
+         epoch_us(o_orderdate) // 1000000 AS timestamp
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+)"""
+
+
+def base(raw: str = RAW_EVENTS, start: str = START, end: str = END) -> str:
+    return f"""
+WITH {raw},
 dated AS (
-  SELECT *, make_timestamp(timestamp * 1000000) AS moment FROM raw
+  SELECT *, make_timestamp(timestamp * 1000000) AS moment,
+         strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d')
+           BETWEEN '{start}' AND '{end}' AS in_range
+  FROM raw
 ),
 accepted AS (
-  SELECT * FROM dated
-  WHERE behavior IN ('pv', 'fav', 'cart', 'buy')
-    AND strftime(moment, '%Y-%m-%d') BETWEEN '{START}' AND '{END}'
+  SELECT * FROM dated WHERE behavior IN ('pv', 'fav', 'cart', 'buy') AND in_range
 ),
 detail AS (
   SELECT user_id, item_id, min(category_id) AS category_id, behavior, timestamp,
@@ -54,7 +75,7 @@ def half_up(num: str, den: str, places: int, scale: int = 1) -> str:
 
 
 def sql(body: str, *ctes: str) -> str:
-    return BASE + "".join(f",\n{c}" for c in ctes) + "\n" + body
+    return base() + "".join(f",\n{c}" for c in ctes) + "\n" + body
 
 
 FOUR = ", ".join(f"{n(b)} AS {b}_count" for b in BEHAVIORS)
@@ -224,11 +245,11 @@ category_items AS (
   FROM item_views JOIN category_views USING (category_id)
   QUALIFY rank_in_category <= {K_ITEMS})"""
 
-AUDIT = f"""reasons AS (
+AUDIT = """reasons AS (
   SELECT *, CASE WHEN user_id IS NULL OR item_id IS NULL OR category_id IS NULL
                       OR behavior IS NULL OR timestamp IS NULL THEN 'null'
                  WHEN behavior NOT IN ('pv', 'fav', 'cart', 'buy') THEN 'behavior'
-                 WHEN strftime(moment, '%Y-%m-%d') NOT BETWEEN '{START}' AND '{END}' THEN 'date'
+                 WHEN NOT in_range THEN 'date'
                  ELSE 'ok' END AS reason
   FROM dated),
 final AS (SELECT count(*) AS n FROM detail)"""
@@ -415,6 +436,14 @@ WHERE window_end_s <= (SELECT max(timestamp) - 30 FROM raw) GROUP BY ALL""",
     ),
     "stream_batch_files": sql(ALL_RAW),
 }
+
+
+def over_orders(events_sql: str) -> str:
+    """The same query over order lines."""
+    body = events_sql.removeprefix(base())
+    return base(RAW_ORDERS, ORDERS_START, ORDERS_END) + body.replace(END, ORDERS_END)
+
+
 ORACLE["stored_day_rerun"] = ORACLE["dws_hourly"]
 ORACLE["result_csv_reload"] = ORACLE["daily_pv_uv"]
 ORACLE["summary_repurchase"] = ORACLE["repurchase_distribution"]
@@ -428,3 +457,20 @@ for _name in (
     "user_rfm",
 ):
     ORACLE[f"summary_{_name}"] = ORACLE[_name]
+ORACLE["orders_retention"] = over_orders(sql("SELECT * FROM cohorts", retention((1, 7, 30))))
+ORACLE["orders_clean_audit"] = over_orders(ORACLE["etl_clean_audit"])
+for _name in (
+    "daily_pv_uv",
+    "behavior_funnel",
+    "top_items",
+    "top_categories",
+    "weekday_vs_weekend",
+    "user_rfm",
+    "rfm_summary",
+    "user_path",
+    "heatmap_hour_dow",
+    "repurchase_distribution",
+    "category_top_items",
+    "verify_counts",
+):
+    ORACLE[f"orders_{_name}"] = over_orders(ORACLE[_name])

@@ -1,8 +1,9 @@
 """Named queries over a folder of driver tables.
 
 Every query takes (spark, folder) and returns a DataFrame over the whole ``events`` table seen
-as a clickstream (see :mod:`footfall.sources.events`). The ``stored_*``, ``ods_*`` and
-``stream_*`` queries also write and read back tables or streams below a scratch folder.
+as a clickstream (see :mod:`footfall.sources.events`), the ``orders_*`` queries over all order
+lines (see :mod:`footfall.sources.orders`). The ``stored_*``, ``ods_*`` and ``stream_*`` queries
+also write and read back tables or streams below a scratch folder.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from footfall.sources.events import (
     events_as_raw,
     stream_events_as_raw,
 )
+from footfall.sources.orders import orders_as_raw
 from footfall.streaming import (
     decode_messages,
     encode_messages,
@@ -37,6 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The events table covers 2024-01-01 to 2024-01-30; the outer days are cut off on purpose.
 START, END = "2024-01-02", "2024-01-29"
+# The same for the order lines, which cover 1995-01-01 to 2001-08-01.
+ORDERS_START, ORDERS_END = "1996-01-01", "2000-12-31"
 # The events table has ten categories only.
 K_CATEGORIES, K_ITEMS = 5, 3
 
@@ -57,6 +61,11 @@ def over_detail(f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: f(detail(spark, folder))
 
 
+def over_orders(f: Callable[[DataFrame], DataFrame]) -> Query:
+    """Run ``f`` over the cleaned order lines instead of the events."""
+    return lambda spark, folder: f(op.clean(orders_as_raw(spark, folder), ORDERS_START, ORDERS_END))
+
+
 def summaries_then(f: Callable[..., DataFrame], *keys: str) -> Query:
     """Run ``f`` over daily summaries instead of the detail."""
     return over_detail(lambda d: f(*(op.daily_summary(d, key) for key in keys)))
@@ -193,6 +202,23 @@ QUERIES: dict[str, Query] = {
     "summary_retention": summaries_then(op.retention, "user_id"),
     "summary_user_rfm": summaries_then(rfm, "user_id"),
     "summary_repurchase": summaries_then(op.repurchase_distribution, "user_id"),
+    # the same analyses over order lines
+    "orders_clean_audit": lambda spark, folder: op.clean_audit(
+        orders_as_raw(spark, folder), ORDERS_START, ORDERS_END
+    ),
+    "orders_daily_pv_uv": over_orders(op.daily_pv_uv),
+    "orders_behavior_funnel": over_orders(op.behavior_funnel),
+    "orders_top_items": over_orders(op.top_items),
+    "orders_top_categories": over_orders(op.top_categories),
+    "orders_weekday_vs_weekend": over_orders(op.weekday_vs_weekend),
+    "orders_retention": over_orders(lambda d: op.retention(d, (1, 7, 30))),
+    "orders_user_rfm": over_orders(lambda d: op.user_rfm(d, ORDERS_END)),
+    "orders_rfm_summary": over_orders(lambda d: op.rfm_summary(op.user_rfm(d, ORDERS_END))),
+    "orders_user_path": over_orders(op.user_path),
+    "orders_heatmap_hour_dow": over_orders(op.heatmap_hour_dow),
+    "orders_repurchase_distribution": over_orders(op.repurchase_distribution),
+    "orders_category_top_items": over_orders(category_items),
+    "orders_verify_counts": over_orders(op.table_profile),
     # checks
     "verify_counts": over_detail(op.table_profile),
     "verify_behaviors": over_detail(
