@@ -9,11 +9,18 @@ WEEKEND = (1, 7)  # dayofweek: 1 = Sunday ... 7 = Saturday
 
 
 def local_time(epoch_seconds: Column, tz: str = "UTC") -> Column:
-    """Wall-clock TIMESTAMP_NTZ in ``tz``."""
-    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=epoch_seconds
+    """Wall-clock TIMESTAMP_NTZ in ``tz``.
+
+    The zone offset is added to the seconds with ``from_utc_timestamp``, which resolves a constant
+    zone once per task; ``convert_timezone`` looks it up for every row.
+    """
+    if tz != "UTC":
+        epoch_seconds = F.unix_seconds(
+            F.from_utc_timestamp(F.timestamp_seconds(epoch_seconds), tz)
+        )
+    return F.timestamp_add(
+        "SECOND", epoch_seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     )
-    return utc if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
 def day_start(day: str, tz: str = "UTC", plus_days: int = 0) -> Column:

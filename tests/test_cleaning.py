@@ -58,6 +58,18 @@ def test_result_does_not_depend_on_the_session_zone(spark, raw_of):
     assert got == want
 
 
+def test_clock_changes(raw_of):
+    times = {
+        "2024-03-10T06:59:59": "2024-03-10 01:59:59",
+        "2024-03-10T07:00:00": "2024-03-10 03:00:00",
+        "2024-11-03T05:30:00": "2024-11-03 01:30:00",
+        "2024-11-03T06:30:00": "2024-11-03 01:30:00",
+    }
+    raw = raw_of(*((1, i, 1, "pv", t) for i, t in enumerate(times)))
+    got = {r[1]: r[4] for r in rows(op.clean(raw, "2024-03-10", "2024-11-03", tz="America/New_York"))}
+    assert [got[i] for i in range(4)] == list(times.values())
+
+
 def test_times_that_make_no_sense_are_only_out_of_range(raw_of):
     raw = raw_of(
         (1, 1, 1, "pv", 10**17), (1, 1, 1, "pv", -(10**17)), (1, 1, 1, "pv", "2024-03-10T01:00:00")
