@@ -41,6 +41,8 @@ def release(spark: SparkSession) -> None:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_CLOSING = np.zeros(256, bool)
+_CLOSING[[ord(c) for c in ".,;:!?"]] = True
 _EXACT = np.random.default_rng(20240101).integers(1, 2**63, 256, dtype=np.uint64)
 _FOLD = _EXACT.copy()
 _FOLD[65:91] = _EXACT[97:123]
@@ -79,6 +81,7 @@ class Words(NamedTuple):
     end: np.ndarray
     first: np.ndarray  # rows + 1 entries
     data: np.ndarray
+    prefix: np.ndarray | None = None
 
     def rows(self) -> np.ndarray:
         """The row of each word."""
@@ -97,11 +100,15 @@ def text_bytes(texts) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words_of(texts, fold: bool = False) -> Words:
-    """Words (runs without ASCII white space) of every text; ``fold`` lower-cases A-Z."""
+def words_of(texts, fold: bool = False, trim: bool = False, prefix: int = 0) -> Words:
+    """Words (runs without ASCII white space) of every text; ``fold`` lower-cases A-Z.
+
+    ``trim`` leaves up to three closing punctuation marks out of a word's hash; ``prefix`` also
+    gives the hash of each word's first bytes, of that many.
+    """
     data, offsets = text_bytes(texts)
     table = _FOLD if fold else _EXACT
-    hashes, starts, ends = [], [], []
+    hashes, starts, ends, prefixes = [], [], [], []
     row, rows = 0, len(offsets) - 1
     while row < rows:
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + _SLICE, "right")) - 1)
@@ -120,14 +127,20 @@ def words_of(texts, fold: bool = False) -> Words:
             power, inverse = _powers(hi - lo + 1)
             sums = np.zeros(hi - lo + 1, np.uint64)
             np.cumsum(table[part] * power[: hi - lo], out=sums[1:])
-            hashes.append(mix((sums[e] - sums[s]) * inverse[s]))
             starts.append(s + lo)
             ends.append(e + lo)
+            if trim:
+                for _ in range(3):
+                    e = e - (_CLOSING[part[e - 1]] & (e - s > 1))
+            hashes.append(mix((sums[e] - sums[s]) * inverse[s]))
+            if prefix:
+                prefixes.append(mix((sums[np.minimum(e, s + prefix)] - sums[s]) * inverse[s]))
         row = stop
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
     start = join(starts, np.int64)
     first = np.searchsorted(start, offsets).astype(np.int64)
-    return Words(join(hashes, np.uint64), start, join(ends, np.int64), first, data)
+    heads = join(prefixes, np.uint64) if prefix else None
+    return Words(join(hashes, np.uint64), start, join(ends, np.int64), first, data, heads)
 
 
 def windows(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
