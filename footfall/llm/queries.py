@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import op4_topk, op7_url_filter, op8_html
+from footfall.llm import (
+    op1_packing,
+    op2_decontamination,
+    op4_topk,
+    op5_warc,
+    op7_url_filter,
+    op8_html,
+    op10_quality,
+)
 from footfall.llm.common import ship
 
 
@@ -12,11 +20,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The tokenizer's file; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return op1_packing.pack(table(spark, folder, "documents"), vocabulary()).drop("loss")
+
+
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return op2_decontamination.contaminated(docs, items)
+
+
 def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return op4_topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
 
 
+def op5_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return op5_warc.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return op7_url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -26,13 +56,32 @@ def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return op8_html.extract_main_text(table(spark, folder, "pages"))
 
 
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return op10_quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
+    "op1_packing": op1_packing_pieces,
+    "op2_decontaminate": op2_decontaminate,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_warc": op5_warc_round_trip,
     "op7_url_filters": op7_url_filters,
     "op8_main_text": op8_main_text,
+    "op10_quality": op10_quality_classifier,
 }
 
 ORACLE = {
+    "op5_warc": r"""
+WITH p AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,
+         strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+h AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS holder FROM p
+  WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM p LEFT JOIN h USING (payload_digest, payload_bytes)""",
     "op4_exact_top_k": r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
