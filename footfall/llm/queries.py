@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.llm import (
     op1_packing,
     op2_decontamination,
+    op3_substring,
     op4_topk,
     op5_warc,
+    op6_near_dup,
     op7_url_filter,
     op8_html,
     op10_quality,
@@ -36,6 +38,10 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return op2_decontamination.contaminated(docs, items)
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return op3_substring.remove_repeats(table(spark, folder, "documents"), window=20)
+
+
 def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return op4_topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
@@ -47,6 +53,10 @@ def op5_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return op6_near_dup.near_duplicates(table(spark, folder, "documents"), width=2, threshold=0.8)
+
+
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return op7_url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -63,8 +73,10 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing_pieces,
     "op2_decontaminate": op2_decontaminate,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_warc": op5_warc_round_trip,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filters": op7_url_filters,
     "op8_main_text": op8_main_text,
     "op10_quality": op10_quality_classifier,
