@@ -5,11 +5,13 @@ ends with two CRLFs, which serve as the writer's line separator. One task writes
 the order of page id, so offset and length of every record follow from byte lengths alone; they go
 to the index together with URL and digest before any archive is read. Reading selects records in
 the index, groups them by archive, sorts and coalesces their byte ranges, and slices the ranges.
+An archive is stored gzip-compressed as a whole, which Spark's readers fetch and the task inflates;
+offsets count the bytes of the archive itself.
 
 Of records with equal payloads (SHA-1 and length) of at least ``min_bytes``, the one with the
 largest page id is a response, the others are revisits without payload that refer to it. A payload
-held by a third of all rows is found by a pre-aggregated maximum, and its rows join it through
-adaptive skew splitting.
+held by a third of all rows is found by a pre-aggregated maximum, and its narrow rows join it
+through adaptive skew splitting.
 
 Defined results: null html is an empty payload, a null URL an empty target; a null page id is
 written as ``urn:page:`` and never refers or is referred to if another row has the same payload.
@@ -19,6 +21,8 @@ header and keep the URL in the index. An empty table gives empty archives and re
 
 from __future__ import annotations
 
+import zlib
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,8 +44,12 @@ def _uri(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
-def plan_records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
-    """``page_id, url, payload`` with digest, type, the page referred to and the record's text."""
+def plan_records(pages: DataFrame, n_archives: int, min_bytes: int = 1000) -> DataFrame:
+    """Records with their archive, header, length and payload.
+
+    Which record is a revisit is decided on narrow rows (key, digest, page id). Payloads are dealt
+    to the archives once; the decisions are dealt along with them and meet them there.
+    """
     payload = F.coalesce("html", F.lit(""))
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -50,18 +58,27 @@ def plan_records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
         F.sha1(F.encode(payload, "UTF-8")).alias("payload_digest"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
     )
-    first = (
-        base.where(F.col("payload_bytes") >= min_bytes)
-        .groupBy("payload_digest", "payload_bytes")
-        .agg(F.max("page_id").alias("holder"))
+    key = F.sha1(F.concat_ws("|", F.col("page_id").cast("string"), "payload_digest"))
+    base = base.withColumn("key", key).withColumn(
+        "archive", F.pmod(F.xxhash64("key"), F.lit(n_archives))
+    )
+    same = ["payload_digest", "payload_bytes"]
+    narrow = base.where(F.col("payload_bytes") >= min_bytes).select("archive", "key", "page_id", *same)
+    first = narrow.groupBy(*same).agg(F.max("page_id").alias("holder"), F.count("*").alias("n"))
+    again = narrow.join(first.where("n > 1"), same).where("not page_id <=> holder")
+    decided = again.select("archive", "key", "holder").distinct()
+    both = base.withColumn("holder", F.lit(None).cast("long")).unionByName(
+        decided, allowMissingColumns=True
     )
-    joined = base.join(first, ["payload_digest", "payload_bytes"], "left")
-    again = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
-    typed = joined.withColumn("record_type", F.when(again, "revisit").otherwise("response"))
-    typed = typed.withColumn("refers_to", F.when(again, F.col("holder")))
-    body = F.when(again, "").otherwise(F.concat(F.lit(_HTTP), F.col("payload")))
+    together = both.repartition(n_archives, "archive").withColumn(
+        "holder", F.max("holder").over(Window.partitionBy("archive", "key"))
+    )
+    rows = together.where("payload_digest is not null")
+    again = F.col("holder").isNotNull()
+    typed = rows.withColumn("record_type", F.when(again, "revisit").otherwise("response"))
     target = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]+", " ")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
+    body = F.when(again, 0).otherwise(F.lit(len(_HTTP)) + F.col("payload_bytes"))
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.col("record_type")),
@@ -72,27 +89,26 @@ def plan_records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         line("WARC-Payload-Length", F.col("payload_bytes").cast("string")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
-        line("Content-Length", F.octet_length(body).cast("string")),
+        line("Content-Length", body.cast("string")),
+        F.lit("\r\n"),
+    )
+    return typed.withColumn("header", header).withColumn(
+        "length", F.octet_length("header") + body.cast("long")
     )
-    return typed.withColumn("value", F.concat(header, F.lit("\r\n"), body))
 
 
 def write_archives(pages: DataFrame, root: str, min_bytes: int = 1000) -> DataFrame:
     """Write archives below ``root`` and return their index (archive, offset, length, ...)."""
     total = pages.agg(F.sum(F.octet_length("html"))).collect()[0][0] or 0
-    n = max(1, -(-total // ARCHIVE_BYTES))
+    records = plan_records(pages, max(1, -(-total // ARCHIVE_BYTES)), min_bytes)
     # ties are rows alike in every indexed column, so they can change places
     order = ["page_id", "payload_digest", "url"]
-    records = plan_records(pages, min_bytes).withColumn(
-        "archive", F.pmod(F.xxhash64("page_id", "payload_digest"), F.lit(n))
-    )
-    placed = records.repartition(n, "archive").sortWithinPartitions("archive", *order)
-    placed.select("archive", "value").write.partitionBy("archive").option("lineSep", END).text(
-        f"{root}/archives"
-    )
+    body = F.when(F.col("record_type") == "revisit", "").otherwise(F.concat(F.lit(_HTTP), "payload"))
+    records.sortWithinPartitions("archive", *order).select(
+        "archive", F.concat("header", body).alias("value")
+    ).write.partitionBy("archive").text(f"{root}/archives", compression="gzip", lineSep=END)
     before = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    size = F.octet_length("value").cast("long")
-    narrow = records.select("archive", "page_id", "url", "payload_digest", size.alias("length"))
+    narrow = records.select("archive", "page_id", "url", "payload_digest", "length")
     return narrow.withColumn(
         "offset", F.coalesce(F.sum(F.col("length") + len(END)).over(before), F.lit(0).cast("long"))
     )
@@ -136,7 +152,7 @@ def _read(with_payload: bool):
         for batch in batches:
             contents, places = batch.column("content"), batch.column("places")
             for k in range(batch.num_rows):
-                data = memoryview(contents[k].as_buffer())
+                data = memoryview(zlib.decompress(contents[k].as_buffer(), 31))
                 ranges = sorted((x["offset"], x["length"]) for x in places[k].as_py())
                 rows = []
                 for start, end, first, last in coalesce_ranges(ranges):
