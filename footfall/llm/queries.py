@@ -13,6 +13,7 @@ from footfall.llm import (
     op6_near_dup,
     op7_url_filter,
     op8_html,
+    op9_pitman_yor,
     op10_quality,
 )
 from footfall.llm.common import ship
@@ -66,6 +67,10 @@ def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return op8_html.extract_main_text(table(spark, folder, "pages"))
 
 
+def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return op9_pitman_yor.score_texts(table(spark, folder, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return op10_quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -79,6 +84,7 @@ QUERIES = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filters": op7_url_filters,
     "op8_main_text": op8_main_text,
+    "op9_pitman_yor": op9_language_model,
     "op10_quality": op10_quality_classifier,
 }
 
