@@ -7,8 +7,8 @@ outcome) estimates the labellers' accuracies from the counts of vote patterns ov
 a pattern is one of a bounded number, so only those counts reach the driver. The posteriors of a
 bounded sample of documents (``SAMPLE_ROWS``, dealt by a hash of the id) then train one hashed
 linear scorer per target on presence of words, word beginnings and marks. The scorer judges every
-whole document, also those on which all labellers abstain; where a labeller has voted, the larger
-of posterior and score counts. A document is kept if both targets stay below one half.
+whole document, also those on which all labellers abstain; where a heuristic has voted, the larger
+of posterior and score counts. Given labels serve to fit, not to judge. A document is kept if both targets stay below one half.
 
 Defined results: null, empty and blank texts have no words and are junk by definition (score 1,
 not kept). Repeated rows are judged alike, a null id by its text alone. Ids labelled more than once
@@ -167,24 +167,28 @@ def score(flat: np.ndarray, first: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with their given votes, 0 where there is none."""
-    given = labels.where("doc_id is not null").groupBy("doc_id").agg(
-        F.max(F.when(F.col("quality") == 0, 1).when(F.col("quality") == 1, -1)).alias("junk"),
-        F.max(F.when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, -1)).alias("toxic"),
-    )
-    given = given.select(F.col("doc_id").alias("labelled_id"), "junk", "toxic")
-    return docs.select("doc_id", "text").join(given, docs["doc_id"] == F.col("labelled_id"), "left").select(
-        "doc_id", "text", F.coalesce("junk", F.lit(0)).alias("junk"), F.coalesce("toxic", F.lit(0)).alias("toxic")
+def _given(labels: DataFrame) -> DataFrame:
+    """Votes of the given labels, one row per id."""
+    return labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("labelled_id")).agg(
+        F.max(F.when(F.col("quality") == 0, 1).when(F.col("quality") == 1, -1)).alias("given_junk"),
+        F.max(F.when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, -1)).alias("given_toxic"),
     )
 
 
-def _slices(batches, n: int = 500):
+def _with_given(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with their given votes, 0 where there is none."""
+    joined = rows.join(_given(labels), rows["doc_id"] == F.col("labelled_id"), "left").drop("labelled_id")
+    return joined.fillna(0, ["given_junk", "given_toxic"])
+
+
+def _slices(batches, given: bool = False, n: int = 500):
+    """Small parts of batches with their given votes, none unless ``given``."""
     for batch in batches:
         for lo in range(0, batch.num_rows, n):
             part = batch.slice(lo, n)
-            given = tuple(part.column(c).to_numpy(zero_copy_only=False).astype(np.int8) for c in ("junk", "toxic"))
-            yield part, given
+            none = (np.zeros(part.num_rows, np.int8),) * 2
+            columns = ("given_junk", "given_toxic")
+            yield part, tuple(part.column(c).to_numpy().astype(np.int8) for c in columns) if given else none
 
 
 def _learned_count(words: Words, known: np.ndarray) -> np.ndarray:
@@ -193,7 +197,7 @@ def _learned_count(words: Words, known: np.ndarray) -> np.ndarray:
 
 def _sample(batches):
     """Features of sampled documents, with their prefixes and votes but for the learned labeller."""
-    for part, given in _slices(batches):
+    for part, given in _slices(batches, True):
         words, m = measure(part.column("text"))
         flat, first = features(words, m)
         own = votes(m, given, np.zeros(len(first) - 1))
@@ -218,38 +222,45 @@ def learn_prefixes(rows: list, least: int = 4) -> np.ndarray:
     return np.setdiff1d(found[n >= least], np.unique(np.concatenate(clean)))
 
 
-def _patterns(known):
+def _vote(known):
     def run(batches):
-        counts: dict[tuple, int] = {}
-        for part, given in _slices(batches):
+        for part, none in _slices(batches):
             words, m = measure(part.column("text"))
-            for t, v in enumerate(votes(m, given, _learned_count(words, known.value))):
-                for p, n in zip(*np.unique(v, axis=0, return_counts=True)):
-                    key = (t, p.tobytes())
-                    counts[key] = counts.get(key, 0) + int(n)
-        if counts:
-            yield pa.record_batch(
-                [pa.array([k[0] for k in counts], pa.int32()), pa.array([k[1] for k in counts], pa.binary()),
-                 pa.array(list(counts.values()), pa.int64())], ["target", "votes", "n"])
+            cast = votes(m, none, _learned_count(words, known.value))
+            packed = [pa.array([r.tobytes() for r in v], pa.binary()) for v in cast]
+            yield pa.record_batch([part.column("doc_id"), *packed], ["doc_id", "junk", "toxic"])
 
     return run
 
 
+def verdicts(part, none, known, models, weights) -> tuple[list, np.ndarray]:
+    """Words, and weak score, linear score and both together per target; whether to keep a text."""
+    words, m = measure(part.column("text"))
+    flat, first = features(words, m)
+    columns = [m["words"]]
+    worst = np.zeros(part.num_rows)
+    for t, v in enumerate(votes(m, none, _learned_count(words, known))):
+        weak, linear = posterior(models[t], v), score(flat, first, weights[t])
+        p = np.where((v != 0).any(1), np.maximum(weak, linear), linear)
+        p[m["words"] == 0] = float(t == JUNK)
+        worst = np.maximum(worst, p)
+        columns += [weak, linear, p]
+    return columns, worst < 0.5
+
+
 def _judge(sent):
     def run(batches):
-        known, models, weights = sent.value
-        for part, given in _slices(batches):
-            words, m = measure(part.column("text"))
-            flat, first = features(words, m)
-            columns = [part.column("doc_id"), pa.array(m["words"], pa.int64())]
-            worst = np.zeros(part.num_rows)
-            for t, v in enumerate(votes(m, given, _learned_count(words, known))):
-                weak, linear = posterior(models[t], v), score(flat, first, weights[t])
-                p = np.where((v != 0).any(1), np.maximum(weak, linear), linear)
-                p[m["words"] == 0] = float(t == JUNK)
-                worst = np.maximum(worst, p)
-                columns += [pa.array(weak), pa.array(linear), pa.array(p)]
-            yield pa.record_batch([*columns, pa.array(worst < 0.5)], names=_NAMES)
+        for part, none in _slices(batches):
+            columns, kept = verdicts(part, none, *sent.value)
+            yield pa.record_batch([part.column("doc_id"), *map(pa.array, columns), pa.array(kept)], names=_NAMES)
+
+    return run
+
+
+def _filter(sent):
+    def run(batches):
+        for part, none in _slices(batches):
+            yield part.filter(pa.array(verdicts(part, none, *sent.value)[1]))
 
     return run
 
@@ -261,30 +272,35 @@ _DDL = ("doc_id long, n_words long, junk_weak double, junk_linear double, junk d
         "toxic_weak double, toxic_linear double, toxic double, kept boolean")
 
 
-def fit(labelled: DataFrame, n_docs: int, sample_rows: int = SAMPLE_ROWS):
-    """(learned word beginnings, label models, scorers) from the votes of all documents."""
-    spark = labelled.sparkSession
-    share = min(1.0, sample_rows / max(1, n_docs))
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
+    """(learned word beginnings, label models, scorers) from the votes of all documents.
+
+    Texts are mapped where they are read; only votes, and the bounded sample, meet the labels.
+    """
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    share = min(1.0, sample_rows / max(1, docs.count()))
     dealt = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
     rows = (
-        labelled.where(dealt).limit(2 * sample_rows)
+        _with_given(docs.where(dealt), labels)
         .mapInArrow(_sample, "features binary, prefixes binary, junk binary, toxic binary")
-        .collect()
+        .limit(2 * sample_rows).collect()
     )
+    rows.sort(key=lambda r: tuple(r))  # the order of training must not depend on that of arrival
     known = spark.sparkContext.broadcast(learn_prefixes(rows))
-    counted = (
-        labelled.mapInArrow(_patterns(known), "target int, votes binary, n long")
-        .groupBy("target", "votes").agg(F.sum("n").alias("n")).orderBy("target", "votes").collect()
-    )
+    cast = docs.mapInArrow(_vote(known), "doc_id long, junk binary, toxic binary")
+    counted = _with_given(cast, labels).groupBy("junk", "toxic", "given_junk", "given_toxic").count().collect()
+    counted.sort(key=lambda r: tuple(r))
     models, weights = [], []
     empty = np.zeros(0, np.int64)
     flat = np.concatenate([np.frombuffer(r["features"], np.int32) for r in rows] or [empty]).astype(np.int64)
     first = np.concatenate([[0], np.cumsum([len(r["features"]) // 4 for r in rows], dtype=np.int64)])
     for t, name in enumerate(("junk", "toxic")):
-        own = [r for r in counted if r["target"] == t]
         k = len(LABELLERS[t])
-        v = np.array([np.frombuffer(r["votes"], np.int8) for r in own], np.int8).reshape(-1, k)
-        models.append(fit_em(v, np.array([r["n"] for r in own], float)))
+        v = np.array([np.frombuffer(r[name], np.int8) for r in counted], np.int8).reshape(-1, k).copy()
+        if len(v):
+            v[:, -1] = [r[f"given_{name}"] for r in counted]
+        models.append(fit_em(v, np.array([r["count"] for r in counted], float)))
         cast = np.array([np.frombuffer(r[name], np.int8) for r in rows], np.int8).reshape(-1, k).copy()
         if t == TOXIC and len(rows):
             hit = np.array([np.isin(np.frombuffer(r["prefixes"], np.uint64), known.value).sum() for r in rows])
@@ -297,7 +313,12 @@ def fit(labelled: DataFrame, n_docs: int, sample_rows: int = SAMPLE_ROWS):
 
 def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Scores of all documents: doc_id, n_words, weak and linear scores per target, kept."""
-    labelled = _labelled(docs, labels)
-    model = fit(labelled, docs.count(), sample_rows)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    return labelled.mapInArrow(_judge(sent), _DDL)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_rows))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return source.mapInArrow(_judge(sent), _DDL)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_rows))
+    return docs.mapInArrow(_filter(sent), docs.schema)
