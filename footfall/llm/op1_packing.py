@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from footfall.llm.common import stored
 
 END_ID = 2
-#: Distinct words kept in a task's table of ids; it starts anew when full.
-WORDS_KEPT = 400_000
+#: Distinct words kept in a worker's table of ids; the frequent ones come first, others are not kept.
+WORDS_KEPT = 700_000
 #: Tokens of waiting examples at which a task closes bins, so that memory stays bounded.
 WAITING_TOKENS = 4_000_000
+SLICE_ROWS = 2500
 #: Tasks whose last bins are packed together in a round.
 FAN_IN = 64
 
@@ -152,14 +153,22 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
     distinct = words.dictionary.to_pylist()
     folded = [w if "<|" in w else w.translate(_LOWER) for w in distinct]
-    if len(known) + len(folded) > WORDS_KEPT:
-        known.clear()
-    new = list({w for w in folded if w not in known})
+    # a closing mark after a letter is always cut off, so only what is before it needs the tokenizer
+    split = [len(w) > 1 and w[-1] in _MARKS and w[-2] < "\u0250" and w[-2].isalpha() for w in folded]
+    stems = [w[:-1] if cut else w for w, cut in zip(folded, split)]
+    new = list({w for w in stems if w not in known} | (_MARKS - known.keys()))
+    here = known if len(known) + len(new) <= WORDS_KEPT else {}
     for at in range(0, len(new), 20_000):
         part = new[at : at + 20_000]
         for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            known[w] = np.array(e.ids, np.uint32).tobytes()
-    pieces = [known[w] for w in folded]
+            here[w] = np.array(e.ids, np.uint32).tobytes()
+    if here is not known:
+        for w in stems:
+            if w in known:
+                here[w] = known[w]
+        for w in _MARKS:
+            here.setdefault(w, known.get(w))
+    pieces = [here[w] + here[end[-1]] if cut else here[w] for w, cut, end in zip(stems, split, folded)]
     size = np.array([len(p) // 4 for p in pieces], np.int64)
     flat = np.frombuffer(b"".join(pieces), np.uint32)
     begin = np.concatenate([[0], np.cumsum(size)])[:-1] if len(size) else size
@@ -174,6 +183,7 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 _LOWER = {k: k + 32 for k in range(65, 91)}
+_MARKS = frozenset(".,")
 _OUT = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
      ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("loss", pa.int64()),
@@ -247,8 +257,8 @@ def _first_round(path: str, limits: Limits, keep_ids: bool):
                 del docs[row]
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
                 ids, offsets = token_ids(part.column("text"), path)
                 doc_ids, loss = part.column("doc_id").to_pylist(), part.column("loss").to_pylist()
                 for k, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
