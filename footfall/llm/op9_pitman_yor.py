@@ -156,8 +156,25 @@ def _ask(contexts: Contexts, bits: int):
     return run
 
 
-_MERGED = ("words", "word_of", "context", "count", "chunks", "sizes", "asked")
-_MERGED_KINDS = (np.uint64, np.int32, np.uint32, np.int64, np.int64, np.int64, np.int32)
+_MERGED_KINDS = (np.uint64, np.uint32, np.uint32, np.int64, np.int64, np.int64, np.uint32, np.uint16)
+
+
+def _steps(asked: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending runs as steps of two bytes; larger steps stand in a list of their own."""
+    step = np.diff(asked, prepend=0)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    step[starts] = asked[starts]
+    large = step >= 65535
+    return step[large].astype(np.uint32), np.where(large, 65535, step).astype(np.uint16)
+
+
+def _from_steps(large: np.ndarray, small: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    step = small.astype(np.int64)
+    step[small == 65535] = large
+    sums = np.cumsum(step)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    before = sums[starts] - step[starts]
+    return sums - np.repeat(before, sizes[sizes > 0])
 
 
 def _merge(table: pa.Table) -> pa.Table:
@@ -170,10 +187,13 @@ def _merge(table: pa.Table) -> pa.Table:
     )
     pairs, asked = np.unique(key, return_inverse=True)
     count = np.bincount(asked, weights=np.concatenate([p[3] for p in parts]), minlength=len(pairs))
+    sizes = np.array([len(p[2]) for p in parts], np.int64)
+    per_word = np.bincount(pairs >> 17, minlength=len(words)).astype(np.uint32)
     data = _arrays(
-        words, (pairs >> 17).astype(np.int32), (pairs & ((1 << 17) - 1)).astype(np.uint32), count.astype(np.int64),
-        np.array([c for c, _ in rows], np.int64), np.array([len(p[2]) for p in parts], np.int64), asked.astype(np.int32),
+        words, per_word, (pairs & ((1 << 17) - 1)).astype(np.uint32), count.astype(np.int64),
+        np.array([c for c, _ in rows], np.int64), sizes, *_steps(asked, sizes),
     )
+    data = zlib.compress(data, 1)  # it stays on disk for several rounds
     return pa.table([pa.array([table["bucket"][0].as_py()], pa.int64()), pa.array([-1], pa.int64()), pa.array([data], pa.binary())],
                     ["bucket", "chunk", "data"])
 
@@ -214,13 +234,17 @@ class Bucket:
     """Words of one bucket with all restaurants that serve them."""
 
     def __init__(self, data, contexts: Contexts):
-        self.words, self.word_of, context, self.count, self.chunks, self.sizes, self.asked = _read(data, *_MERGED_KINDS)
+        self.words, per_word, context, self.count, self.chunks, self.sizes, *steps = _read(
+            zlib.decompress(data), *_MERGED_KINDS
+        )
+        self.word_of = np.repeat(np.arange(len(self.words)), per_word)
+        self.asked = _from_steps(*steps, self.sizes)
         self.context = context.astype(np.int64)
         self.leaf = self.context >= CLASSES
         parent = self.context.copy()
         parent[self.leaf] = contexts.parent[self.context[self.leaf] - CLASSES]
         # (word, class) pairs, also those that only frequent words use
-        self.classes, self.class_of = np.unique(self.word_of.astype(np.int64) << 8 | parent, return_inverse=True)
+        self.classes, self.class_of = np.unique(self.word_of << 8 | parent, return_inverse=True)
         self.class_word, self.class_id = self.classes >> 8, self.classes & 255
         self.leaf_at = np.flatnonzero(self.leaf)
         self.direct = np.bincount(self.class_of[~self.leaf], self.count[~self.leaf], len(self.classes))
