@@ -6,14 +6,22 @@ windows, row-level windows where it aggregates first, integer rounding where it
 
 from __future__ import annotations
 
-from footfall.functions.labels import REPURCHASE_BUCKETS, SEGMENT_LABELS
-from footfall.plans.registered import (
-    END,
-    K_CATEGORIES,
-    K_ITEMS,
-    ORDERS_END,
-    ORDERS_START,
-    START,
+START, END = "2024-01-01", "2024-01-30"
+CUT_START, CUT_END = "2024-01-02", "2024-01-29"
+ORDERS_START, ORDERS_END = "1995-01-01", "2001-08-01"
+ORDERS_CUT_START, ORDERS_CUT_END = "1996-01-01", "2000-12-31"
+K_CATEGORIES, K_ITEMS = 5, 3
+# Output labels in the order of the rules, and repurchase buckets.
+SEGMENT_LABELS = (
+    "重要价值客户", "重要发展客户", "重要保持客户", "重要挽留客户",
+    "一般价值客户", "一般发展客户", "一般保持客户", "一般挽留客户",
+)
+REPURCHASE_BUCKETS = (
+    ("1次（一次性买家）", 1, 1),
+    ("2次（首次复购）", 2, 2),
+    ("3-5次（活跃买家）", 3, 5),
+    ("6-10次（高频买家）", 6, 10),
+    ("11次以上（核心买家）", 11, None),
 )
 
 BEHAVIORS = ("pv", "fav", "cart", "buy")
@@ -431,9 +439,12 @@ WHERE event_date BETWEEN '2024-01-08' AND '2024-01-14' GROUP BY event_date"""
     "decoded_messages": sql(ALL_RAW),
     "stream_pv_uv": sql(
         """SELECT window_start_s, window_end_s, behavior, count(*) AS count FROM windows
-WHERE window_end_s <= (SELECT max(timestamp) - 30 FROM raw) GROUP BY ALL""",
+GROUP BY ALL""",
         WINDOWS,
     ),
+    "stream_uv_tolerance": sql(
+        "SELECT DISTINCT window_start_s, behavior, CAST(1 AS INTEGER) AS within FROM windows", WINDOWS
+    ),
     "stream_batch_files": sql(ALL_RAW),
 }
 
@@ -474,3 +485,25 @@ for _name in (
     "verify_counts",
 ):
     ORACLE[f"orders_{_name}"] = over_orders(ORACLE[_name])
+
+# the cleaning queries leave out the outer days
+ORACLE["etl_null_audit"] = ORACLE["etl_clean_audit"].replace(
+    "SELECT user_id, item_id, item_id // 10 AS category_id",
+    "SELECT user_id, CASE WHEN item_id >= 10 THEN item_id END AS item_id, item_id // 10 AS category_id",
+)
+ORACLE["etl_null_audit"] = ORACLE["etl_null_audit"].replace(
+    "'buy') AND in_range", "'buy') AND in_range AND item_id IS NOT NULL"
+)
+for _name in ("etl_clean_audit", "etl_null_audit", "etl_detail", "etl_rows_per_day"):
+    ORACLE[_name] = ORACLE[_name].replace(f"'{START}' AND '{END}'", f"'{CUT_START}' AND '{CUT_END}'")
+ORACLE["orders_clean_audit"] = ORACLE["orders_clean_audit"].replace(
+    f"'{ORDERS_START}' AND '{ORDERS_END}'", f"'{ORDERS_CUT_START}' AND '{ORDERS_CUT_END}'"
+)
+# a fifth behaviour is accepted
+_FIVE = ("behavior IN ('pv', 'fav', 'cart', 'buy') AND", "behavior IN ('pv', 'fav', 'cart', 'buy', 'error') AND")
+ORACLE["weekday_vs_weekend_all"] = ORACLE["weekday_vs_weekend"].replace(*_FIVE)
+ORACLE["weekday_pivot_all"] = ORACLE["weekday_pivot"].replace(*_FIVE).replace(
+    " FROM weekday GROUP BY",
+    ", coalesce(CAST(max(total_count) FILTER (WHERE behavior = 'error') AS BIGINT), 0) AS error"
+    " FROM weekday GROUP BY",
+).replace("\n  , coalesce", ", coalesce")

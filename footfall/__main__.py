@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--replace-days-only", action="store_true")
         if name == "export":
             sub.add_argument("--out", required=True)
+            sub.add_argument("--head", type=int, help="first rows of long tables only")
     for name in ("stream", "land"):
         sub = step(name, help="needs Spark's Kafka connector (--packages or --jars)")
         sub.add_argument("--servers", required=True)
@@ -43,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--starting-offsets", default="latest")
         sub.add_argument("--batch-size", type=int, help="messages per trigger")
         sub.add_argument("--checkpoint", required=True)
+        sub.add_argument("--once", action="store_true", help="work off what is there and stop")
         if name == "land":
             sub.add_argument("--out", required=True)
     sub = step("send", help="send a raw CSV as messages")
@@ -59,11 +61,15 @@ def _stream(args: argparse.Namespace) -> None:
             spark, args.servers, args.topic, args.starting_offsets, args.batch_size
         )
     )
+    totals = streaming.RunTotals()
+    spark.streams.addListener(totals)
+    once = {"every": None} if args.once else {}
     if args.step == "stream":
-        query = streaming.start_windowed(streaming.windowed_pv_uv(events), args.checkpoint)
+        query = streaming.start_windowed(streaming.windowed_pv_uv(events), args.checkpoint, **once)
     else:
-        query = streaming.land_batches(events, args.out, args.checkpoint)
+        query = streaming.land_batches(events, args.out, args.checkpoint, **once)
     streaming.run_until_interrupted(query)
+    print(totals.of(query))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -94,7 +100,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.step in ("report", "all"):
         warehouse.build_reports(spark, args.root, args.end)
     if args.step == "export":
-        warehouse.export_reports(spark, args.out, args.root)
+        warehouse.export_reports(spark, args.out, args.root, head=args.head)
     if args.step in ("verify", "all"):
         for result in warehouse.verify(spark, args.root).values():
             preview(result, 30)

@@ -30,16 +30,16 @@ def _rules(start: str, end: str, valid: Sequence[str], tz: str) -> dict[str, Col
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """One row per key, the one with the smallest ``order_by``.
+    """One row per key, whole: the one with the smallest ``order_by``, nulls last.
 
-    An aggregation rather than a row number: copies of a key are merged on the map side, so a
-    key with very many copies never gathers in one task.
+    Equal order values are decided by the other columns from left to right, so the survivor
+    doesn't depend on the order of arrival. An aggregation rather than a row number: copies of a
+    key are merged on the map side, so a key with very many copies never gathers in one task.
     """
     rest = [c for c in df.columns if c not in keys and c != order_by]
-    survivors = df.groupBy(*keys).agg(
-        F.min(order_by).alias(order_by), *(F.min_by(c, order_by).alias(c) for c in rest)
-    )
-    return survivors.select(*df.columns)
+    row = F.struct(F.col(order_by).isNull().alias("last"), order_by, *rest)
+    first = df.groupBy(*keys).agg(F.min(row).alias("first"))
+    return first.select(*(F.col(c) if c in keys else F.col("first")[c].alias(c) for c in df.columns))
 
 
 def clean(

@@ -132,7 +132,10 @@ def weekday_pivot(
     order: Sequence[str] = PIVOT_ORDER,
     labels: Mapping[str, str] = DAY_TYPE_LABELS,
 ) -> DataFrame:
-    """One row per day type, one column per behaviour; absent combinations 0."""
+    """One row per day type, one column per behaviour of ``order``; absent combinations 0.
+
+    The columns are part of the plan, so behaviours beyond the usual ones are named in ``order``.
+    """
     pivoted = comparison.groupBy("day_type").pivot("behavior", list(order)).agg(F.first(value))
     return pivoted.select(
         "day_type",
@@ -144,9 +147,9 @@ def weekday_pivot(
 def share_of_total(df: DataFrame, label: str, value: str, places: int = 2) -> DataFrame:
     """A label/value relation with the total and each value's percentage of it.
 
-    For result tables of a few rows (funnel stages, segments, top categories).
+    The total enters as a scalar subquery, so rows stay where they are.
     """
-    total = F.sum(value).over(Window.partitionBy())
+    total = df.agg(F.sum(value)).scalar()
     return df.select(
         F.col(label).alias("label"),
         F.col(value).alias("value"),

@@ -16,9 +16,6 @@ from footfall.schemas import conform
 # How much each behaviour adds to an item's score.
 SCORE_WEIGHTS = {"pv": 1, "fav": 3, "cart": 5, "buy": 10}
 
-# Rows up to which a top-k set is small enough to be sent to every executor.
-BROADCAST_ROWS = 100_000
-
 
 def _best(df: DataFrame, measure: str, key: str, k: int) -> DataFrame:
     """The k largest rows, numbered. Cut first, numbered after: only k rows meet in one task."""
@@ -84,8 +81,6 @@ def category_top_items(
         .limit(k_cat)
         .withColumnRenamed("pv_count", "category_pv")
     )
-    if k_cat <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
     items = (
         detail.join(chosen, "category_id")
         .groupBy("category_id", "category_pv", "item_id")

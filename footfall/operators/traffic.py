@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import clock
-from footfall.functions.measures import BEHAVIORS, amount, behavior_counts, count_name, ratio
+from footfall.functions.measures import (
+    BEHAVIORS,
+    amount,
+    behavior_counts,
+    count_name,
+    is_summary,
+    ratio,
+)
 from footfall.operators.summaries import hourly_measures
 from footfall.schemas import conform
 
@@ -74,20 +81,28 @@ def weekday_vs_weekend(
 ) -> DataFrame:
     """Per day type and behaviour: events, distinct users, events per user.
 
-    Works on the detail or on the user-day summary. Reducing to one row per user and day type
-    first turns the distinct counts into plain counts.
+    Works on the detail, whose behaviours all appear, or on the user-day summary, which holds
+    ``behaviors``. Reducing to one row per user, day type and behaviour first turns the distinct
+    counts into plain counts.
     """
     rel = clock.in_date_range(rel, start, end)
     if "is_weekend" not in rel.columns:
         day = F.dayofweek(F.col("event_date").cast("date"))
         rel = rel.withColumn("is_weekend", clock.is_weekend(day))
+    day_type = F.when(F.col("is_weekend") == 1, "weekend").otherwise("weekday").alias("day_type")
+    if not is_summary(rel):
+        users = rel.groupBy("is_weekend", "behavior", "user_id").agg(F.count("*").alias("n"))
+        rows = users.groupBy(day_type, "behavior").agg(
+            F.sum("n").alias("total_count"), F.count("*").alias("user_count")
+        )
+        return _per_user(rows)
     users = behavior_counts(rel, "is_weekend", "user_id", behaviors=behaviors)
     totals = users.groupBy("is_weekend").agg(
         *(F.sum(count_name(b)).alias(f"{b}_total") for b in behaviors),
         *(F.count_if(F.col(count_name(b)) > 0).alias(f"{b}_users") for b in behaviors),
     )
     rows = totals.select(
-        F.when(F.col("is_weekend") == 1, "weekend").otherwise("weekday").alias("day_type"),
+        day_type,
         F.inline(
             F.array(
                 *(
@@ -101,6 +116,10 @@ def weekday_vs_weekend(
             )
         ),
     ).filter(F.col("total_count") > 0)
+    return _per_user(rows)
+
+
+def _per_user(rows: DataFrame) -> DataFrame:
     return conform(
         rows.withColumn("avg_per_user", ratio(F.col("total_count"), F.col("user_count"), 2)),
         "ads.weekday_vs_weekend",

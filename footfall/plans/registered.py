@@ -17,6 +17,7 @@ from footfall import operators as op
 from footfall import sinks
 from footfall.functions import clock
 from footfall.operators import feeds
+from footfall.operators.cleaning import VALID_BEHAVIORS
 from footfall.schemas import EVENTS
 from footfall.session import scratch_dir
 from footfall.sources import load_raw, read_layer, read_result_csv
@@ -31,16 +32,19 @@ from footfall.streaming import (
     decode_messages,
     encode_messages,
     land_batches,
-    start_windowed,
+    latest_windows,
+    start_versions,
     windowed_pv_uv,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The events table covers 2024-01-01 to 2024-01-30; the outer days are cut off on purpose.
-START, END = "2024-01-02", "2024-01-29"
-# The same for the order lines, which cover 1995-01-01 to 2001-08-01.
-ORDERS_START, ORDERS_END = "1996-01-01", "2000-12-31"
+# The whole of the events table and of the order lines.
+START, END = "2024-01-01", "2024-01-30"
+ORDERS_START, ORDERS_END = "1995-01-01", "2001-08-01"
+# Ranges that leave out the outer days, for the cleaning queries, whose feature the cut is.
+CUT_START, CUT_END = "2024-01-02", "2024-01-29"
+ORDERS_CUT_START, ORDERS_CUT_END = "1996-01-01", "2000-12-31"
 # The events table has ten categories only.
 K_CATEGORIES, K_ITEMS = 5, 3
 
@@ -49,8 +53,10 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
     return events_as_raw(spark, folder)
 
 
-def detail(spark: SparkSession, folder: str) -> DataFrame:
-    return op.clean(raw(spark, folder), START, END)
+def detail(
+    spark: SparkSession, folder: str, start: str = START, end: str = END, valid=VALID_BEHAVIORS
+) -> DataFrame:
+    return op.clean(events_as_raw(spark, folder, start, end, valid), start, end, valid)
 
 
 def over_raw(f: Callable[[DataFrame], DataFrame]) -> Query:
@@ -63,7 +69,8 @@ def over_detail(f: Callable[[DataFrame], DataFrame]) -> Query:
 
 def over_orders(f: Callable[[DataFrame], DataFrame]) -> Query:
     """Run ``f`` over the cleaned order lines instead of the events."""
-    return lambda spark, folder: f(op.clean(orders_as_raw(spark, folder), ORDERS_START, ORDERS_END))
+    whole = (ORDERS_START, ORDERS_END)
+    return lambda spark, folder: f(op.clean(orders_as_raw(spark, folder, *whole), *whole))
 
 
 def summaries_then(f: Callable[..., DataFrame], *keys: str) -> Query:
@@ -129,24 +136,20 @@ def result_csv_reload(spark: SparkSession, folder: str) -> DataFrame:
     return read_result_csv(spark, path, "ads.daily_pv_uv")
 
 
-def stream_pv_uv(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream the events as messages through the windowed counts into files.
-
-    File sinks take closed windows only: those that end at least the watermark's 30 seconds
-    before the last event. The approximate user counts are left out, they have no exact answer.
-    """
+def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Stream the events as messages through the windowed counts; the last version of each window."""
     out = scratch_dir(spark, "stream")
     events = decode_messages(encode_messages(stream_events_as_raw(spark, folder)))
-    query = start_windowed(
-        windowed_pv_uv(events),
-        checkpoint=f"{out}/checkpoint",
-        fmt="parquet",
-        mode="append",
-        every=None,
-        path=f"{out}/windows",
+    query = start_versions(
+        windowed_pv_uv(events), f"{out}/windows", f"{out}/checkpoint", every=None
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{out}/windows").select(
+    return latest_windows(spark, f"{out}/windows")
+
+
+def stream_pv_uv(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of every window and behaviour, also of windows still open at the end."""
+    return stream_windows(spark, folder).select(
         F.unix_timestamp("window_start").alias("window_start_s"),
         F.unix_timestamp("window_end").alias("window_end_s"),
         "behavior",
@@ -154,6 +157,34 @@ def stream_pv_uv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_uv_tolerance(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a window's approximate users lie within 15 % of the exact number, for each window."""
+    events = event_key_columns(spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet"))
+    second = F.col("timestamp").cast("timestamp")
+    exact = events.groupBy(F.window(second, "30 seconds", "10 seconds").alias("w"), "behavior").agg(
+        F.count_distinct("user_id").alias("users")
+    )
+    exact = exact.select(F.col("w.start").alias("window_start"), "behavior", "users")
+    near = F.abs(F.col("unique_users") - F.col("users")) <= 0.15 * F.col("users")
+    return stream_windows(spark, folder).join(exact, ["window_start", "behavior"], "left").select(
+        F.unix_timestamp("window_start").alias("window_start_s"),
+        "behavior",
+        F.when(near, 1).otherwise(0).alias("within"),
+    )
+
+
+def all_behaviors(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned events with a fifth behaviour accepted."""
+    return detail(spark, folder, valid=(*VALID_BEHAVIORS, "error"))
+
+
+def null_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of events whose items below 10 have lost their number."""
+    events = raw(spark, folder)
+    lost = F.when(F.col("item_id") >= 10, F.col("item_id"))
+    return op.clean_audit(events.withColumn("item_id", lost), CUT_START, CUT_END)
+
+
 def stream_batch_files(spark: SparkSession, folder: str) -> DataFrame:
     """Stream the events as messages into CSV batch files and load those files."""
     out = scratch_dir(spark, "landing")
@@ -169,9 +200,12 @@ def rfm(d: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # load and clean
     "etl_behavior_share": lambda spark, folder: op.behavior_share(event_behaviors(spark, folder)),
-    "etl_clean_audit": over_raw(lambda r: op.clean_audit(r, START, END)),
-    "etl_detail": detail,
-    "etl_rows_per_day": over_detail(lambda d: op.rows_per(d, "event_date").orderBy("event_date")),
+    "etl_clean_audit": over_raw(lambda r: op.clean_audit(r, CUT_START, CUT_END)),
+    "etl_null_audit": null_audit,
+    "etl_detail": lambda spark, folder: detail(spark, folder, CUT_START, CUT_END),
+    "etl_rows_per_day": lambda spark, folder: op.rows_per(
+        detail(spark, folder, CUT_START, CUT_END), "event_date"
+    ).orderBy("event_date"),
     "dedup_survivor": dedup_survivor,
     # summaries
     "dws_user_daily": over_detail(lambda d: op.daily_summary(d, "user_id")),
@@ -185,6 +219,10 @@ QUERIES: dict[str, Query] = {
     "top_items": over_detail(op.top_items),
     "top_categories": over_detail(op.top_categories),
     "weekday_vs_weekend": over_detail(op.weekday_vs_weekend),
+    "weekday_vs_weekend_all": lambda spark, folder: op.weekday_vs_weekend(all_behaviors(spark, folder)),
+    "weekday_pivot_all": lambda spark, folder: feeds.weekday_pivot(
+        op.weekday_vs_weekend(all_behaviors(spark, folder)), order=(*feeds.PIVOT_ORDER, "error")
+    ),
     "retention": over_detail(op.retention),
     "retention_long": over_detail(lambda d: op.retention(d, (1, 2, 3, 7, 14))),
     "user_rfm": over_detail(rfm),
@@ -204,7 +242,7 @@ QUERIES: dict[str, Query] = {
     "summary_repurchase": summaries_then(op.repurchase_distribution, "user_id"),
     # the same analyses over order lines
     "orders_clean_audit": lambda spark, folder: op.clean_audit(
-        orders_as_raw(spark, folder), ORDERS_START, ORDERS_END
+        orders_as_raw(spark, folder), ORDERS_CUT_START, ORDERS_CUT_END
     ),
     "orders_daily_pv_uv": over_orders(op.daily_pv_uv),
     "orders_behavior_funnel": over_orders(op.behavior_funnel),
@@ -273,5 +311,6 @@ QUERIES: dict[str, Query] = {
         lambda r: decode_messages(encode_messages(r)).drop("event_time")
     ),
     "stream_pv_uv": stream_pv_uv,
+    "stream_uv_tolerance": stream_uv_tolerance,
     "stream_batch_files": stream_batch_files,
 }

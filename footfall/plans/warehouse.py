@@ -42,8 +42,8 @@ class Report:
 
     compute: Callable[..., DataFrame]
     reads: tuple[str, ...]
-    head: int | None = None
     order: tuple[str, ...] = ()
+    long: bool = False
 
 
 def reports(end: str = DATE_END) -> dict[str, Report]:
@@ -57,7 +57,7 @@ def reports(end: str = DATE_END) -> dict[str, Report]:
         "ads.weekday_vs_weekend": Report(op.weekday_vs_weekend, (USER_DAYS,)),
         "ads.retention": Report(op.retention, (USER_DAYS,)),
         "ads.user_rfm": Report(
-            lambda days: op.user_rfm(days, end), (USER_DAYS,), head=500, order=("user_id",)
+            lambda days: op.user_rfm(days, end), (USER_DAYS,), order=("user_id",), long=True
         ),
         "ads.rfm_summary": Report(op.rfm_summary, ("ads.user_rfm",)),
         "ads.user_path": Report(op.user_path, (DETAIL_TABLE,)),
@@ -135,18 +135,25 @@ def build_reports(
 
 
 def export_reports(
-    spark: SparkSession, out: str, root: str | None = None, names: Iterable[str] | None = None
+    spark: SparkSession,
+    out: str,
+    root: str | None = None,
+    names: Iterable[str] | None = None,
+    head: int | None = None,
 ) -> None:
-    """Export report tables as CSV with a header, one file each; long ones only their head."""
+    """Export whole report tables as CSV with a header, short ones as one file each.
+
+    ``head`` cuts long tables (one row per user) to their first rows, which then fit in one file.
+    """
     known = reports()
     for name in known if names is None else names:
         report = known[name]
         export_csv(
             read_layer(spark, name, root),
             f"{out.rstrip('/')}/{name.split('.')[1]}",
-            head=report.head,
+            head=head if report.long else None,
             order=report.order,
-            single_file=True,
+            single_file=not report.long or head is not None,
         )
 
 

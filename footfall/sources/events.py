@@ -7,6 +7,8 @@ cleaning rejects them like any other unknown behaviour.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +50,27 @@ def event_behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(_behavior(F.col("event_type")).alias("behavior"))
 
 
-def events_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table of a data folder as raw clickstream rows."""
+def events_as_raw(
+    spark: SparkSession,
+    sf_dir: str,
+    start: str | None = None,
+    end: str | None = None,
+    behaviors: Sequence[str] | None = None,
+) -> DataFrame:
+    """The ``events`` table of a data folder as raw clickstream rows.
+
+    A closed range of UTC days and the behaviours of interest are compared with the stored
+    columns, so that they reach the scan as pushed filters.
+    """
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    if start:
+        events = events.filter(F.col("ts") >= F.lit(f"{start} 00:00:00").cast("timestamp_ntz"))
+    if end:
+        after = (F.date_add(F.lit(end).cast("date"), 1)).cast("timestamp_ntz")
+        events = events.filter(F.col("ts") < after)
+    if behaviors is not None:
+        code_of = {b: code for code, b in BEHAVIOR_OF.items()}
+        events = events.filter(F.col("event_type").isin([code_of.get(b, b) for b in behaviors]))
     return event_key_columns(events).select(*RAW.names)
 
 

@@ -14,9 +14,13 @@ from footfall.schemas import RAW
 BEHAVIOR_OF_LINE = ("pv", "fav", "cart", "buy")  # by line number modulo 4
 
 
-def orders_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_as_raw(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """Order lines joined with their order and part, as raw clickstream rows.
 
+    A closed range of days is compared with the stored order date and reaches the scan.
+
     Both joins are left to Spark, which sends a side to every executor only if its size allows
     it and otherwise shuffles, splitting keys that hold too many rows.
     """
@@ -26,6 +30,12 @@ def orders_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lines = table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    kind = orders.schema["o_orderdate"].dataType
+    if start:
+        orders = orders.filter(F.col("o_orderdate") >= F.lit(start).cast(kind))
+    if end:
+        after = F.date_add(F.lit(end).cast("date"), 1).cast(kind)
+        orders = orders.filter(F.col("o_orderdate") < after)
     parts = table("part").select("p_partkey", "p_brand")
     names = F.array(*(F.lit(b) for b in BEHAVIOR_OF_LINE))
     return (

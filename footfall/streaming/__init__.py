@@ -8,17 +8,30 @@ from footfall.streaming.intake import (
     write_messages,
 )
 from footfall.streaming.landing import land_batches
-from footfall.streaming.monitor import progress_totals, run_until_interrupted, stop_after_backlog
-from footfall.streaming.realtime import start_windowed, windowed_pv_uv
+from footfall.streaming.monitor import (
+    RunTotals,
+    progress_totals,
+    run_until_interrupted,
+    stop_after_backlog,
+)
+from footfall.streaming.realtime import (
+    latest_windows,
+    start_versions,
+    start_windowed,
+    windowed_pv_uv,
+)
 
 __all__ = [
+    "RunTotals",
     "decode_messages",
     "encode_messages",
     "file_messages",
     "kafka_messages",
     "land_batches",
+    "latest_windows",
     "progress_totals",
     "run_until_interrupted",
+    "start_versions",
     "start_windowed",
     "stop_after_backlog",
     "windowed_pv_uv",

@@ -5,7 +5,7 @@ import pytest
 from checks.compare import compare, connect
 from checks.oracle import ORACLE
 from footfall import operators as op
-from footfall.plans.registered import END, QUERIES, detail, raw, stored_detail
+from footfall.plans.registered import END, QUERIES, START, detail, raw, stored_detail
 from footfall.sources import read_layer
 
 SMALL = "/root/testdata/sf0.001"
@@ -43,7 +43,7 @@ def test_invariants(spark, folder):
     assert total(op.rfm_summary(op.user_rfm(d, END)), "user_count") == buyers
     assert total(repurchase, "user_count") == buyers
     assert total(repurchase, "total_buy") == counts["buy"]
-    audit = op.clean_audit(raw(spark, folder), "2024-01-02", END).collect()[0]
+    audit = op.clean_audit(raw(spark, folder), START, END).collect()[0]
     removed = audit.null_removed + audit.behavior_removed + audit.date_removed
     assert audit.raw - removed - audit.dedup_removed == audit.final == profile.row_count
     for share in (
