@@ -54,11 +54,11 @@ def _pack(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(x, k) for x, k in zip(row, kinds)], names)
 
 
-def _blocks(vectors: DataFrame, size: int) -> DataFrame:
-    """``vectors`` (id, dim, v) in blocks of about ``size``, one row each."""
+def _blocks(vectors: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """``vectors`` (id, dim, v) in blocks of about ``size``, one row each; how many numbers there are."""
     n = max(1, -(-vectors.count() // size))
     at = F.pmod(F.xxhash64("id"), F.lit(n))
-    return vectors.withColumn("block", at).groupBy("dim", "block").applyInArrow(_pack, _BLOCK_SCHEMA)
+    return vectors.withColumn("block", at).groupBy("dim", "block").applyInArrow(_pack, _BLOCK_SCHEMA), n
 
 
 def search_block(q_ids, q, ids, exact, cells, edges, k: int):
@@ -130,16 +130,15 @@ def top_k(
             F.col(id_column).cast("long").alias("id"), F.size(vector).alias("dim"), whole.alias("v")
         )
 
-    asked = _blocks(usable(queries), QUERY_BLOCK).select(
+    asked, n_asked = _blocks(usable(queries), QUERY_BLOCK)
+    held, n_held = _blocks(usable(vectors), BLOCK)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    asked = asked.select(
         "dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact")
     )
-    numbers = asked.groupBy("dim").agg(F.collect_set("q_block").alias("q_blocks"))
-    pairs = (
-        _blocks(usable(vectors), BLOCK)
-        .join(F.broadcast(numbers), "dim")  # one number for each block of queries
-        .withColumn("q_block", F.explode("q_blocks"))
-        .drop("q_blocks")
-        .join(asked, ["dim", "q_block"])
+    # keyed by both numbers, so that each pair of blocks is a task's work of its own
+    pairs = held.withColumn("q_block", every(n_asked)).join(
+        asked.withColumn("block", every(n_held)), ["dim", "block", "q_block"]
     )
     found = pairs.select(
         "dim", "q_ids", "q_exact", "ids", "exact", "cells", "bounds"
