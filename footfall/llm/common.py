@@ -178,42 +178,64 @@ def in_chunks(docs: DataFrame, key: str, n: int) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 
 
+#: Edges that a task contracts at a time.
+_EDGES = 1 << 20
+
+
+def _forest(batches):
+    """A forest of stars with the same components as the edges (a, b) of each run of batches."""
+
+    def contract(run: list[pa.RecordBatch]):
+        edges = pa.Table.from_batches(run)
+        ends = np.concatenate([edges["a"].to_numpy(), edges["b"].to_numpy()])
+        ids, at = np.unique(ends, return_inverse=True)
+        a, b = at[: len(at) // 2], at[len(at) // 2 :]
+        top = np.arange(len(ids))
+        while len(a):
+            np.minimum.at(top, np.maximum(a, b), np.minimum(a, b))
+            while not np.array_equal(top, higher := top[top]):
+                top = higher
+            a, b = top[a], top[b]
+            a, b = a[a != b], b[a != b]
+        low = np.flatnonzero(top != np.arange(len(ids)))
+        return pa.record_batch([pa.array(ids[low]), pa.array(ids[top[low]])], ["a", "b"])
+
+    run, n = [], 0
+    for batch in batches:
+        run.append(batch)
+        n += batch.num_rows
+        if n >= _EDGES:
+            yield contract(run)
+            run, n = [], 0
+    if n:
+        yield contract(run)
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b); component is the smallest id reachable.
 
-    Alternates the large-star and small-star steps, which keep the graph's components and
-    shrink it to stars in a logarithmic number of rounds. Each round is written, so lineage
-    stays short; a row of the graph is two longs, and minima are pre-aggregated.
+    Tasks first contract the edges they read to stars. Then, round by round, every id and all its
+    neighbours go to the smallest of them, which keeps the components and shrinks the graph to
+    stars in few rounds. Each round is written, so lineage stays short; a row of the graph is two
+    longs, and minima are pre-aggregated. It ends when no id has two tops and no top has one of
+    its own.
     """
-    spark = edges.sparkSession
-
-    def star(pairs: DataFrame, large: bool) -> DataFrame:
-        if large:  # each larger neighbour of u goes to the smallest of u and its neighbours
-            both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            least = both.groupBy("a").agg(F.min("b").alias("m"))
-            least = least.select("a", F.least("a", "m").alias("m"))
-            out = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:  # u and its smaller neighbours go to the smallest neighbour
-            least = pairs.groupBy("a").agg(F.min("b").alias("m"))
-            out = (
-                pairs.join(least, "a")
-                .select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-            )
-        return out.where("a != b").distinct()
-
-    current = stored(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .where("a != b").distinct(),
-        label,
-    )
-    before = None
-    while True:
-        current = stored(star(star(current, True), False), label)
-        now = current.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).collect()[0]
-        if before == now:
-            break
-        before = now
+
+    def gather(pairs: DataFrame) -> DataFrame:
+        both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        moved = both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        return moved.where("a != b").distinct()
+
+    def stars(pairs: DataFrame) -> bool:
+        roles = pairs.select(F.inline(F.array(
+            F.struct(F.col("a").alias("id"), F.lit(1).alias("low")), F.struct(F.col("b").alias("id"), F.lit(0).alias("low"))
+        )))
+        roles = roles.groupBy("id").agg(F.sum("low").alias("lows"), F.max(1 - F.col("low")).alias("tops"))
+        return roles.where("lows > 0 and lows + tops > 1").count() == 0
+
+    current = stored(edges.select("a", "b").mapInArrow(_forest, "a long, b long"), label)
+    while not stars(current):
+        current = stored(gather(current), label)
     tops = current.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).union(tops)

@@ -109,15 +109,23 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n_a, n_b) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates along the last axis, corrected for chance agreement, and their error."""
+def estimate(a: np.ndarray, b: np.ndarray, n_a, n_b, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard estimates along the last axis, corrected for chance agreement, and their error.
+
+    The error is that of a pair at or above the threshold, as far as it may hide one. The registers
+    in use then sample, without replacement, a union of known largest size, so small sets have
+    little of it.
+    """
     either = ((a | b) != 0).sum(-1)
     same = ((a == b) & (a != 0)).sum(-1)
     ratio = np.maximum(n_a, n_b) / np.maximum(1, np.minimum(n_a, n_b))
     chance = 0.169919487 * 2.0 ** (BUCKETS_LOG2 - MANTISSA) * 4 * ratio / (1 + ratio) ** 2
     chance = np.minimum(chance, either - same)
     m = np.maximum(1, either)
-    return np.maximum(0, same - chance) / m, np.sqrt(0.16 / m)
+    union = (n_a + n_b) / (1 + threshold)
+    unseen = np.clip((union - m) / np.maximum(1, union - 1), 0, 1)
+    spread = max(threshold, 0.5) * (1 - max(threshold, 0.5))
+    return np.maximum(0, same - chance) / m, np.sqrt(spread / m * unseen) + chance / m
 
 
 _SKETCHED = "doc_id long, n_shingles long, key1 long, key2 long, sketch binary"
@@ -152,17 +160,19 @@ def _bands(batches):
                 )
 
 
-def _estimates(batches):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        read = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS)
-        value, error = estimate(
-            read("sketch_a"), read("sketch_b"), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        )
-        yield pa.record_batch(
-            [batch.column("a"), batch.column("b"), pa.array(value), pa.array(error)], ["a", "b", "estimate", "error"]
-        )
+def _estimates(threshold: float):
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            read = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            sizes = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            value, error = estimate(read("sketch_a"), read("sketch_b"), *sizes, threshold)
+            yield pa.record_batch(
+                [batch.column("a"), batch.column("b"), pa.array(value), pa.array(error)], ["a", "b", "estimate", "error"]
+            )
+
+    return run
 
 
 _PAIRS = "a long, b long, estimate double, error double"
@@ -261,7 +271,7 @@ def _block_pairs(threshold: float):
                          for c in ("ids", "labels", "sizes", "sketches")} for e in "ab")
                 left, right = a["sketches"].reshape(-1, BUCKETS), b["sketches"].reshape(-1, BUCKETS)
                 for i in range(len(left)):
-                    value, error = estimate(left[i], right, a["sizes"][i], b["sizes"])
+                    value, error = estimate(left[i], right, a["sizes"][i], b["sizes"], threshold)
                     hit = np.flatnonzero((value + 6 * error >= threshold) & (b["labels"] != a["labels"][i]))
                     if len(hit):
                         yield pa.record_batch(
@@ -312,22 +322,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     stars = banded.join(least, "band").where("id != a").select("a", F.col("id").alias("b")).distinct()
     pairs = stored(
         _with(stars, first.withColumnRenamed("n_shingles", "n"), ["n", "sketch"])
-        .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_estimates, _PAIRS)
+        .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_estimates(threshold), _PAIRS)
         .where((F.col("estimate") >= LOOSE) | (F.col("estimate") + 6 * F.col("error") >= threshold)),
         "pairs",
     )
     maybe = F.col("estimate") + 6 * F.col("error") >= threshold
     links = stored(confirm(docs, pairs.where(maybe), width, threshold), "links")
     labels = stored(components(links), "labels")
-    families = components(pairs)
+    families = components(pairs.select("a", "b").union(_edges(labels)))
     open_pairs = stored(_unconnected(first, families, labels, threshold).join(pairs, ["a", "b"], "left_anti"), "open-pairs")
 
     most = 4
     while not open_pairs.isEmpty():
         order = Window.partitionBy("a").orderBy(F.desc("estimate"), "b")
         best = stored(open_pairs.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most).select("a", "b"), "best")
-        links = stored(links.union(confirm(docs, best, width, threshold)), "links")
-        labels = stored(components(links), "labels")
+        links = stored(confirm(docs, best, width, threshold), "links")
+        if not links.isEmpty():
+            labels = stored(components(links.union(_edges(labels))), "labels")
         named = labels.withColumnRenamed("id", "doc_id")
         left = _with(open_pairs.join(best, ["a", "b"], "left_anti"), _all_labels(open_pairs, named), ["component"])
         open_pairs = stored(left.where("component_a != component_b").select("a", "b", "estimate", "error"), "open-pairs")
@@ -345,6 +356,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     )
 
 
+def _edges(labels: DataFrame) -> DataFrame:
+    return labels.where("id != component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+
+
 def _all_labels(pairs: DataFrame, named: DataFrame) -> DataFrame:
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     return ids.join(named, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
