@@ -233,7 +233,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int, threshold: float) ->
     it fills up at large scale it only saves less.
     """
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     bits = np.zeros(1 << FILTER_BITS, bool)
     for r in ids.coalesce(8).mapInArrow(_slots, "bits binary").collect():
         bits |= np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
@@ -243,7 +243,6 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int, threshold: float) ->
     sets = (
         docs.where("doc_id is not null").select("doc_id", "text")
         .mapInArrow(_full_sets(width, wanted), "doc_id long, set binary")
-        .join(ids, F.col("doc_id") == F.col("id"), "left_semi")
     )
     both = _with(pairs.select("a", "b"), sets, ["set"])
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_compare(threshold), "a long, b long").distinct()
@@ -330,19 +329,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     links = stored(confirm(docs, pairs.where(maybe), width, threshold), "links")
     labels = stored(components(links), "labels")
     families = components(pairs.select("a", "b").union(_edges(labels)))
-    open_pairs = stored(_unconnected(first, families, labels, threshold).join(pairs, ["a", "b"], "left_anti"), "open-pairs")
+    order = Window.partitionBy("a").orderBy(F.desc("estimate"), "b")
+    open_pairs = _unconnected(first, families, labels, threshold).join(pairs, ["a", "b"], "left_anti")
+    open_pairs = stored(open_pairs.select("a", "b", F.row_number().over(order).alias("k")), "open-pairs")
 
     most = 4
     while not open_pairs.isEmpty():
-        order = Window.partitionBy("a").orderBy(F.desc("estimate"), "b")
-        best = stored(open_pairs.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most).select("a", "b"), "best")
-        links = stored(confirm(docs, best, width, threshold), "links")
+        links = stored(confirm(docs, open_pairs.where(F.col("k") <= most), width, threshold), "links")
+        open_pairs = open_pairs.where(F.col("k") > most)
         if not links.isEmpty():
             labels = stored(components(links.union(_edges(labels))), "labels")
-        named = labels.withColumnRenamed("id", "doc_id")
-        left = _with(open_pairs.join(best, ["a", "b"], "left_anti"), _all_labels(open_pairs, named), ["component"])
-        open_pairs = stored(left.where("component_a != component_b").select("a", "b", "estimate", "error"), "open-pairs")
-        most *= 8
+            named = labels.withColumnRenamed("id", "doc_id")
+            left = _with(open_pairs, _all_labels(open_pairs, named), ["component"])
+            open_pairs = stored(left.where("component_a != component_b").select("a", "b", "k"), "open-pairs")
+        most *= 16
 
     member = classes.withColumnRenamed("doc_id", "class_id").join(
         labels.withColumnRenamed("id", "class_id"), "class_id", "left"
