@@ -12,8 +12,9 @@ corrected for registers that agree by chance. Those that may reach the threshold
 standard errors to spare, are confirmed on full sets and give links; those with an estimate of
 ``LOOSE`` or more tie families together. Within a family whose members aren't yet connected,
 sketches of the members outside its largest component are compared with all others, in blocks of
-bounded size, and what may be a link is confirmed, the best of each first, until every such pair
-is confirmed, refused, or connected otherwise. So a link is only lost where two similar sets share
+bounded size. What may be a link is confirmed on full sets: in the block itself where both sets have
+at most ``SMALL`` shingles, and otherwise by joins, the best of each first, until every such pair is
+confirmed, refused, or connected otherwise. So a link is only lost where two similar sets share
 no band: with 48 bands of 6 registers less than one in a million at the threshold itself.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing; with
@@ -37,6 +38,8 @@ MANTISSA = 10
 BANDS, ROWS = 48, 6
 LOOSE = 0.5
 BLOCK = 256
+#: Sets of at most so many shingles travel with the blocks; larger ones are fetched for their pairs.
+SMALL = 512
 #: Bits of the filter that keeps texts nobody asks for out of the shuffle; fixed, so bounded.
 FILTER_BITS = 23
 _BORROW = np.random.default_rng(11).permuted(
@@ -186,6 +189,12 @@ def _with(pairs: DataFrame, side: DataFrame, columns: list[str]) -> DataFrame:
     return pairs
 
 
+def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Whether two sets, each of distinct hashes, reach the threshold."""
+    same = len(a) + len(b) - len(np.union1d(a, b)) if len(a) and len(b) else 0
+    return 100 * same >= round(100 * threshold) * (len(a) + len(b) - same) and same > 0
+
+
 def _compare(threshold: float):
     """Keeps the pairs whose full sets reach the threshold."""
 
@@ -194,8 +203,7 @@ def _compare(threshold: float):
             keep = []
             for a, b in zip(batch.column("set_a"), batch.column("set_b")):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                same = len(a) + len(b) - len(np.union1d(a, b)) if len(a) and len(b) else 0
-                keep.append(100 * same >= round(100 * threshold) * (len(a) + len(b) - same) and same > 0)
+                keep.append(similar(a, b, threshold))
             part = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
             if part.num_rows:
                 yield part
@@ -226,24 +234,28 @@ def _slots(batches):
     yield pa.record_batch([pa.array([np.packbits(seen).tobytes()], pa.binary())], ["bits"])
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, width: int, threshold: float) -> DataFrame:
-    """The ``pairs`` (a, b) whose full sets are similar enough; each text is read, few are shuffled.
+def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame | None:
+    """(doc_id, set) of at least the ``ids`` (id) asked for, None if there are none.
 
-    A bit filter of fixed size over the ids asked for keeps other texts out of the shuffle; where
-    it fills up at large scale it only saves less.
+    A bit filter of fixed size keeps other texts from being hashed and shuffled; where it fills up
+    at large scale it only saves less.
     """
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     bits = np.zeros(1 << FILTER_BITS, bool)
     for r in ids.coalesce(8).mapInArrow(_slots, "bits binary").collect():
         bits |= np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
     if not bits.any():
-        return pairs.select("a", "b").limit(0)
+        return None
     wanted = spark.sparkContext.broadcast(bits)
-    sets = (
-        docs.where("doc_id is not null").select("doc_id", "text")
-        .mapInArrow(_full_sets(width, wanted), "doc_id long, set binary")
-    )
+    texts = docs.where("doc_id is not null").select("doc_id", "text")
+    return texts.mapInArrow(_full_sets(width, wanted), "doc_id long, set binary")
+
+
+def confirm(docs: DataFrame, pairs: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose full sets are similar enough; each text is read, few are shuffled."""
+    sets = sets_of(docs, pairs.select("a").union(pairs.select("b")).withColumnRenamed("a", "id"), width)
+    if sets is None:
+        return pairs.select("a", "b").limit(0)
     both = _with(pairs.select("a", "b"), sets, ["set"])
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_compare(threshold), "a long, b long").distinct()
 
@@ -254,34 +266,46 @@ def _pack_block(group: pa.Table) -> pa.Table:
     take = lambda c: group[c].to_numpy()[order]
     sketch = b"".join(group["sketch"].take(pa.array(order)).to_pylist())
     columns = [take("doc_id"), take("label"), take("n_shingles")]
-    row = [[group["family"][0].as_py()], [group["block"][0].as_py()], *([c.astype(np.int64).tobytes()] for c in columns), [sketch]]
-    kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 4
-    return pa.table([pa.array(x, k) for x, k in zip(row, kinds)], ["family", "block", "ids", "labels", "sizes", "sketches"])
+    sets = [s or b"" for s in group["set"].take(pa.array(order)).to_pylist()]
+    columns.append(np.array([len(s) // 8 for s in sets]))
+    row = [[group["family"][0].as_py()], [group["block"][0].as_py()], *([c.astype(np.int64).tobytes()] for c in columns)]
+    row += [[b"".join(sets)], [sketch]]
+    kinds = [pa.int64(), pa.int64()] + [pa.binary()] * len(_IN_BLOCK)
+    return pa.table([pa.array(x, k) for x, k in zip(row, kinds)], ["family", "block", *_IN_BLOCK])
 
 
-_BLOCKS = "family long, block long, ids binary, labels binary, sizes binary, sketches binary"
+_IN_BLOCK = {"ids": np.int64, "labels": np.int64, "sizes": np.int64, "held": np.int64, "sets": np.uint64, "sketches": np.uint16}
+_BLOCKS = "family long, block long, " + ", ".join(f"{c} binary" for c in _IN_BLOCK)
 
 
 def _block_pairs(threshold: float):
+    """Pairs that may be links; those of two sets at hand are compared in full and ``sure``."""
+
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                a, b = ({c: np.frombuffer(r[f"{c}_{e}"], np.uint16 if c == "sketches" else np.int64)
-                         for c in ("ids", "labels", "sizes", "sketches")} for e in "ab")
+                a, b = ({c: np.frombuffer(r[f"{c}_{e}"], kind) for c, kind in _IN_BLOCK.items()} for e in "ab")
                 left, right = a["sketches"].reshape(-1, BUCKETS), b["sketches"].reshape(-1, BUCKETS)
+                sets_a, sets_b = (np.split(x["sets"], np.cumsum(x["held"])[:-1]) for x in (a, b))
                 for i in range(len(left)):
                     value, error = estimate(left[i], right, a["sizes"][i], b["sizes"], threshold)
                     hit = np.flatnonzero((value + 6 * error >= threshold) & (b["labels"] != a["labels"][i]))
+                    sure = (a["held"][i] > 0) & (b["held"][hit] > 0)
+                    link = np.array([not s or similar(sets_a[i], sets_b[j], threshold) for j, s in zip(hit, sure)], bool)
+                    hit, sure = hit[link], sure[link]
                     if len(hit):
                         yield pa.record_batch(
                             [pa.array(np.full(len(hit), a["ids"][i])), pa.array(b["ids"][hit]),
-                             pa.array(value[hit]), pa.array(error[hit])], ["a", "b", "estimate", "error"])
+                             pa.array(value[hit]), pa.array(error[hit]), pa.array(sure)],
+                            ["a", "b", "estimate", "error", "sure"])
 
     return run
 
 
-def _unconnected(sketched: DataFrame, families: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one family in different components that may be links, from sketches in blocks."""
+def _unconnected(
+    docs: DataFrame, sketched: DataFrame, families: DataFrame, labels: DataFrame, width: int, threshold: float
+) -> DataFrame:
+    """Pairs of one family in different components that are or may be links, from sketches in blocks."""
     f = families.select(F.col("id").alias("doc_id"), F.col("component").alias("family"))
     named = labels.select(F.col("id").alias("doc_id"), F.col("component").alias("label"))
     f = f.join(named, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
@@ -290,20 +314,25 @@ def _unconnected(sketched: DataFrame, families: DataFrame, labels: DataFrame, th
         F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"), F.sum("n").alias("members")
     )
     largest = largest.where("labels > 1")
+    f = stored(f.join(largest, "family"), "open-families")
+    sets = sets_of(docs, f.select(F.col("doc_id").alias("id")), width)
+    if sets is None:
+        sets = sketched.select("doc_id", F.lit(None).cast("binary").alias("set")).limit(0)
+    sets = sets.where(F.octet_length("set") <= 8 * SMALL)
     members = stored(
-        f.join(largest, "family").join(sketched.select("doc_id", "n_shingles", "sketch"), "doc_id")
+        f.join(sets.dropDuplicates(["doc_id", "set"]), "doc_id", "left").join(sketched.select("doc_id", "n_shingles", "sketch"), "doc_id")
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / BLOCK))),
         "families",
     )
     blocks = lambda m: m.groupBy("family", "block").applyInArrow(_pack_block, _BLOCKS)
     few, every = blocks(members.where("label != main")), blocks(members)
     ends = [
-        d.select("family", *(F.col(c).alias(f"{c}_{e}") for c in ("ids", "labels", "sizes", "sketches")))
+        d.select("family", *(F.col(c).alias(f"{c}_{e}") for c in _IN_BLOCK))
         for e, d in (("a", few), ("b", every))
     ]
     return (
-        ends[0].join(ends[1], "family").drop("family").mapInArrow(_block_pairs(threshold), _PAIRS)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate", "error").distinct()
+        ends[0].join(ends[1], "family").drop("family").mapInArrow(_block_pairs(threshold), _PAIRS + ", sure boolean")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate", "error", "sure").distinct()
     )
 
 
@@ -330,18 +359,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     labels = stored(components(links), "labels")
     families = components(pairs.select("a", "b").union(_edges(labels)))
     order = Window.partitionBy("a").orderBy(F.desc("estimate"), "b")
-    open_pairs = _unconnected(first, families, labels, threshold).join(pairs, ["a", "b"], "left_anti")
-    open_pairs = stored(open_pairs.select("a", "b", F.row_number().over(order).alias("k")), "open-pairs")
+    found = _unconnected(docs, first, families, labels, width, threshold).join(pairs, ["a", "b"], "left_anti")
+    found = stored(found.select("a", "b", "sure", F.row_number().over(order).alias("k")), "open-pairs")
+    links, open_pairs = found.where("sure").select("a", "b"), found.where("not sure").drop("sure")
 
     most = 4
-    while not open_pairs.isEmpty():
-        links = stored(confirm(docs, open_pairs.where(F.col("k") <= most), width, threshold), "links")
-        open_pairs = open_pairs.where(F.col("k") > most)
+    while True:
         if not links.isEmpty():
             labels = stored(components(links.union(_edges(labels))), "labels")
             named = labels.withColumnRenamed("id", "doc_id")
             left = _with(open_pairs, _all_labels(open_pairs, named), ["component"])
             open_pairs = stored(left.where("component_a != component_b").select("a", "b", "k"), "open-pairs")
+        if open_pairs.isEmpty():
+            break
+        links = stored(confirm(docs, open_pairs.where(F.col("k") <= most), width, threshold), "links")
+        open_pairs = open_pairs.where(F.col("k") > most)
         most *= 16
 
     member = classes.withColumnRenamed("doc_id", "class_id").join(
