@@ -6,11 +6,13 @@ hash in the bucket and the mantissa bits after it, 16 bits in all. Documents wit
 one class, whose smallest id stands for it from then on, so exact copies cost nothing further.
 
 Bands of registers (empty ones borrow, bucket by bucket, from another of the same sketch) deal the
-representatives into groups. In each group the members are compared with its smallest id only;
-never all pairs of a group. The compared pairs get a Jaccard estimate from their sketches,
-corrected for registers that agree by chance. Those that may reach the threshold, with six
-standard errors to spare, are confirmed on full sets and give links; those with an estimate of
-``LOOSE`` or more tie families together. Within a family whose members aren't yet connected,
+representatives into groups. In each group the members are first compared with its smallest id
+only. The compared pairs get a Jaccard estimate from their sketches, corrected for registers that
+agree by chance. Those that may reach the threshold, with six standard errors to spare, are
+confirmed on full sets and give links; those with an estimate of ``LOOSE`` or more tie families
+together. Members refused by the smallest id are then compared, in blocks, with each other and with
+all members of the group but those so close to the smallest id that what is similar to them is tied
+to it as well; what may be a link ties families too. Within a family whose members aren't yet connected,
 sketches of the members outside its largest component are compared with all others, in blocks of
 bounded size. What may be a link is confirmed on full sets: in the block itself where both sets have
 at most ``SMALL`` shingles, and otherwise by joins, the best of each first, until every such pair is
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import Words, components, mix, stored, windows, words_of
+from footfall.llm.common import Words, _forest, components, mix, stored, windows, words_of
 
 BUCKETS_LOG2 = 9
 BUCKETS = 1 << BUCKETS_LOG2
@@ -336,6 +338,67 @@ def _unconnected(
     )
 
 
+def _is_maybe(threshold: float):
+    return F.col("estimate") + 6 * F.col("error") >= threshold
+
+
+_MEMBERS = "array<struct<id: long, n: long, refused: boolean, sketch: binary>>"
+
+
+def _block_ties(threshold: float):
+    """Stars that tie what may be a link, of the refused members of two blocks and all of the other."""
+
+    def read(members):
+        if not members.is_valid:
+            return None
+        m = members.values
+        ids, n, refused = (m.field(c).to_numpy(zero_copy_only=False) for c in ("id", "n", "refused"))
+        sketch = np.frombuffer(b"".join(m.field("sketch").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+        return ids, n, refused, sketch
+
+    def ties(a, b):
+        for i in np.flatnonzero(a[2]):
+            value, error = estimate(a[3][i], b[3], a[1][i], b[1], threshold)
+            hit = b[0][value + 6 * error >= threshold]
+            hit = hit[hit != a[0][i]]
+            if len(hit):
+                yield pa.record_batch([pa.array(np.full(len(hit), a[0][i])), pa.array(hit)], ["a", "b"])
+
+    def run(batches):
+        for batch in batches:
+            for a, b in zip(batch.column("own"), batch.column("other")):
+                a, b = read(a), read(b)
+                yield from _forest(ties(a, a) if b is None else ties(a, b))
+                if b is not None:
+                    yield from _forest(ties(b, a))
+
+    return run
+
+
+def _refused_ties(starred: DataFrame, judged: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) ties of group members (band, a, id) that their smallest id ``a`` didn't accept.
+
+    A member that leaves is so like the smallest id that all that is similar to it is accepted there.
+    """
+    leaves = F.col("estimate") - 6 * F.col("error") >= LOOSE + 1 - threshold
+    rows = starred.join(judged.withColumnRenamed("b", "id"), ["a", "id"])
+    refused = (F.col("estimate") < LOOSE) & ~_is_maybe(threshold)
+    rows = rows.select("band", "id", refused.alias("refused"), leaves.alias("leaves")).where("refused or not leaves")
+    size = rows.groupBy("band").agg(F.max("refused").alias("any"), F.count("*").alias("n_members"))
+    size = size.where("any and n_members > 1").drop("any")
+    side = sketched.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    rows = stored(rows.select("band", "id", "refused").join(size, "band"), "refused")
+    rows = rows.join(side, "id").withColumn("blocks", F.ceil(F.col("n_members") / BLOCK))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    blocks = rows.groupBy("band", "blocks", "block").agg(F.collect_list(F.struct("id", "n", "refused", "sketch")).alias("own"))
+    blocks = stored(blocks, "refused-blocks")
+    several = blocks.where("blocks > 1")
+    other = several.select("band", F.col("block").alias("block_b"), F.col("own").alias("other"))
+    across = several.join(other, "band").where("block < block_b").select("own", "other")
+    every = blocks.select("own", F.lit(None).cast(_MEMBERS).alias("other")).union(across)
+    return every.mapInArrow(_block_ties(threshold), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -347,17 +410,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
 
     banded = first.select("doc_id", "sketch").mapInArrow(_bands, "band long, id long")
     least = banded.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = banded.join(least, "band").where("id != a").select("a", F.col("id").alias("b")).distinct()
-    pairs = stored(
+    starred = stored(banded.join(least, "band").where("id != a"), "starred")
+    stars = starred.select("a", F.col("id").alias("b")).distinct()
+    judged = stored(
         _with(stars, first.withColumnRenamed("n_shingles", "n"), ["n", "sketch"])
-        .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_estimates(threshold), _PAIRS)
-        .where((F.col("estimate") >= LOOSE) | (F.col("estimate") + 6 * F.col("error") >= threshold)),
-        "pairs",
+        .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_estimates(threshold), _PAIRS),
+        "judged",
     )
-    maybe = F.col("estimate") + 6 * F.col("error") >= threshold
-    links = stored(confirm(docs, pairs.where(maybe), width, threshold), "links")
+    pairs = judged.where((F.col("estimate") >= LOOSE) | _is_maybe(threshold))
+    links = stored(confirm(docs, pairs.where(_is_maybe(threshold)), width, threshold), "links")
     labels = stored(components(links), "labels")
-    families = components(pairs.select("a", "b").union(_edges(labels)))
+    ties = _refused_ties(starred, judged, first, threshold)
+    families = components(pairs.select("a", "b").union(ties).union(_edges(labels)))
     order = Window.partitionBy("a").orderBy(F.desc("estimate"), "b")
     found = _unconnected(docs, first, families, labels, width, threshold).join(pairs, ["a", "b"], "left_anti")
     found = stored(found.select("a", "b", "sure", F.row_number().over(order).alias("k")), "open-pairs")
