@@ -2,18 +2,20 @@
 
 Restaurants form three levels. The root seats words without context. Below it are restaurants of
 classes of the word before (its last two bytes, dealt into ``CLASSES``; one class is the start of a
-text); below those, restaurants of single words before that make up at least ``SHARE`` of the
-training tokens (counted where they reach that share in a batch). Such words are at most 1/SHARE, so
-all per-restaurant totals are arrays of bounded size. A table of a restaurant is a customer of its
-parent, and restaurants share their parents.
+text); below those, one restaurant for every word before that is seen in training. A table of a
+restaurant is a customer of its parent, and restaurants share their parents.
 
 Texts are dealt into chunks. A chunk sends each distinct pair of restaurant and word once, with
 its count in training texts, to the bucket of the word, where all restaurants that serve the word
 meet: one word has at most one row per restaurant. Buckets run Gibbs sweeps that seat all customers
 anew, level by level, given the parent's current predictive probability (the first 64 customers of
 a dish one by one, later ones in blocks of an eighth of those seated). Restaurants' totals are
-summed over all buckets after each round and held during the next. Predictive probabilities are
-averaged over the sweeps of the last round and go back to the chunks, which score their texts.
+summed over all buckets after each round and held during the next: those of the root and the classes
+on the driver, those of words in a table, from which each bucket gets the words it seats for. A word
+before has as many customers as its count, and a table less for each customer that joined another;
+so only dishes of two customers or more are summed, once per word before and bucket. Averages over
+the sweeps of the last round go back to the chunks, with the totals of the chunks' own words, and
+the chunks score their texts.
 Discounts are estimated from counts of counts, the strength is a parameter.
 
 Defined results: null, empty and blank texts hold the end token only. A null id counts as the
@@ -34,7 +36,6 @@ from pyspark.sql import functions as F
 from footfall.llm.common import in_chunks, n_chunks, release, stored, words_of
 
 CHUNK_BYTES = 8 << 20
-SHARE = 1e-3
 CLASSES = 256
 STRENGTH = 5.0
 ROUNDS, SWEEPS = 2, 3
@@ -43,8 +44,8 @@ _DATA = "bucket long, chunk long, data binary"
 
 
 class Tokens(NamedTuple):
-    """Tokens of all texts, an end after each: word hash, class of the word before, frequent word
-    before (or -1), row, and whether the row is trained on."""
+    """Tokens of all texts, an end after each: word hash, word before (0 at the start), its class,
+    row, first token of each row, and whether the row is trained on."""
 
     hash: np.ndarray
     before: np.ndarray
@@ -80,41 +81,28 @@ def tokens_of(table) -> Tokens:
     return Tokens(hashes, before, group, np.repeat(np.arange(n_rows), np.diff(first)), first, trained)
 
 
-def _frequent(batches):
-    """Words before that reach the share within a batch of training texts, and the tokens."""
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 2000):
-            t = tokens_of(batch.slice(lo, 2000))
-            use = t.trained[t.row]
-            before, at, n = np.unique(t.before[use], return_index=True, return_counts=True)
-            group = t.group[use][at]
-            keep = (n >= SHARE * use.sum()) & (before != 0)
-            yield pa.record_batch(
-                [pa.array(np.append(before[keep], np.uint64(0)).view(np.int64)),
-                 pa.array(np.append(group[keep], 0)), pa.array(np.append(n[keep], use.sum()))],
-                ["word", "class", "n"])
-
-
 class Contexts(NamedTuple):
-    """Restaurants: classes first, then one for each frequent word, with its class."""
+    """Restaurants of words before, numbered from ``CLASSES`` on, with their classes."""
 
     words: np.ndarray  # sorted hashes
     parent: np.ndarray
 
-    def of(self, t: Tokens) -> np.ndarray:
-        if not len(self.words):
-            return t.group
-        at = np.minimum(np.searchsorted(self.words, t.before), len(self.words) - 1)
-        return np.where(self.words[at] == t.before, CLASSES + at, t.group)
+
+#: A pair is a word's number and, in the low bits, its restaurant's.
+_LOW = 32
 
 
-def distinct_pairs(t: Tokens, contexts: Contexts):
-    """Sorted distinct words; per distinct (word, restaurant) its word, restaurant and training
-    count; and the pair of each token."""
+def distinct_pairs(t: Tokens):
+    """Sorted distinct words; the contexts; per distinct (word, restaurant) its word, restaurant
+    and training count; and the pair of each token. Only the start has a class for a restaurant."""
     words, inverse = np.unique(t.hash, return_inverse=True)
-    pairs, index = np.unique(inverse << 17 | contexts.of(t), return_inverse=True)
+    before, at, own = np.unique(t.before, return_index=True, return_inverse=True)
+    start = int(len(before) > 0 and before[0] == 0)
+    contexts = Contexts(before[start:], t.group[at][start:])
+    context = np.where(t.before == 0, 0, CLASSES + own - start)
+    pairs, index = np.unique(inverse << _LOW | context, return_inverse=True)
     count = np.bincount(index, weights=t.trained[t.row], minlength=len(pairs)).astype(np.int64)
-    return words, pairs >> 17, pairs & ((1 << 17) - 1), count, index
+    return words, contexts, pairs >> _LOW, pairs & ((1 << _LOW) - 1), count, index
 
 
 def _cuts(words: np.ndarray, bits: int):
@@ -139,16 +127,21 @@ def _read(data, *kinds) -> list[np.ndarray]:
     return out
 
 
-def _ask(contexts: Contexts, bits: int):
+def _ask(bits: int):
     def run(table: pa.Table) -> pa.Table:
-        words, of_word, context, count, _ = distinct_pairs(tokens_of(table), contexts)
+        words, contexts, of_word, context, count, _ = distinct_pairs(tokens_of(table))
         begin = np.searchsorted(of_word, np.arange(len(words) + 1))
         buckets, data = [], []
         for b, lo, hi in _cuts(words, bits):
             p = slice(begin[lo], begin[hi])
             n = np.diff(begin[lo : hi + 1]).astype(np.uint32)
+            used = np.unique(context[p])
+            used = used[used >= CLASSES]
+            own = np.where(context[p] < CLASSES, context[p], CLASSES + np.searchsorted(used, context[p]))
             buckets.append(b)
-            data.append(_arrays(words[lo:hi], n, context[p].astype(np.uint32), count[p].astype(np.uint32)))
+            data.append(_arrays(
+                words[lo:hi], n, own.astype(np.uint32), count[p].astype(np.uint32),
+                contexts.words[used - CLASSES], contexts.parent[used - CLASSES].astype(np.uint8)))
         chunk = table["chunk"][0].as_py()
         return pa.table([pa.array(buckets, pa.int64()), pa.array([chunk] * len(data), pa.int64()), pa.array(data, pa.binary())],
                         ["bucket", "chunk", "data"])
@@ -177,25 +170,31 @@ def _from_steps(large: np.ndarray, small: np.ndarray, sizes: np.ndarray) -> np.n
     return sums - np.repeat(before, sizes[sizes > 0])
 
 
+_MERGED = "bucket long, data binary, contexts binary"
+
+
 def _merge(table: pa.Table) -> pa.Table:
     """One row per bucket: its words, its pairs with their counts, and which pairs a chunk asked."""
     rows = sorted(zip(table["chunk"].to_pylist(), table["data"].to_pylist()))
-    parts = [_read(d, np.uint64, np.uint32, np.uint32, np.uint32) for _, d in rows]
+    parts = [_read(d, np.uint64, np.uint32, np.uint32, np.uint32, np.uint64, np.uint8) for _, d in rows]
     words = np.unique(np.concatenate([p[0] for p in parts]))
-    key = np.concatenate(
-        [np.repeat(np.searchsorted(words, p[0]), p[1]).astype(np.int64) << 17 | p[2] for p in parts]
-    )
-    pairs, asked = np.unique(key, return_inverse=True)
+    before, at = np.unique(np.concatenate([p[4] for p in parts]), return_index=True)
+    classes = np.concatenate([p[5] for p in parts])[at]
+    key = []
+    for p in parts:
+        restaurant = np.concatenate([np.arange(CLASSES), CLASSES + np.searchsorted(before, p[4])])[p[2]]
+        key.append(np.repeat(np.searchsorted(words, p[0]), p[1]).astype(np.int64) << _LOW | restaurant)
+    pairs, asked = np.unique(np.concatenate(key), return_inverse=True)
     count = np.bincount(asked, weights=np.concatenate([p[3] for p in parts]), minlength=len(pairs))
     sizes = np.array([len(p[2]) for p in parts], np.int64)
-    per_word = np.bincount(pairs >> 17, minlength=len(words)).astype(np.uint32)
+    per_word = np.bincount(pairs >> _LOW, minlength=len(words)).astype(np.uint32)
     data = _arrays(
-        words, per_word, (pairs & ((1 << 17) - 1)).astype(np.uint32), count.astype(np.int64),
+        words, per_word, (pairs & ((1 << _LOW) - 1)).astype(np.uint32), count.astype(np.int64),
         np.array([c for c, _ in rows], np.int64), sizes, *_steps(asked, sizes),
     )
-    data = zlib.compress(data, 1)  # it stays on disk for several rounds
-    return pa.table([pa.array([table["bucket"][0].as_py()], pa.int64()), pa.array([-1], pa.int64()), pa.array([data], pa.binary())],
-                    ["bucket", "chunk", "data"])
+    values = [zlib.compress(d, 1) for d in (data, _arrays(before, classes))]  # they stay on disk for several rounds
+    return pa.table([pa.array([table["bucket"][0].as_py()], pa.int64()), *(pa.array([v], pa.binary()) for v in values)],
+                    ["bucket", "data", "contexts"])
 
 
 def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -219,7 +218,7 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng) -> np.n
 
 
 class Totals(NamedTuple):
-    """What all buckets share: customers and tables of each restaurant and of the root."""
+    """Customers and tables of each restaurant of a class, of a bucket's contexts, and of the root."""
 
     customers: np.ndarray
     tables: np.ndarray
@@ -285,13 +284,9 @@ class Bucket:
         self.root_tables = seat(self.root_customers.astype(np.int64), fresh, d0, rng)
 
     def totals(self):
-        """(restaurant or a negative key, customers, tables) of this bucket."""
-        n = CLASSES + (int(self.context.max()) if len(self.context) else 0) + 1
-        customers = np.bincount(self.class_id, self.class_customers, n)
-        tables = np.bincount(self.class_id, self.class_tables, n)
-        u = self.context[self.leaf_at]
-        customers += np.bincount(u, self.count[self.leaf_at], n)
-        tables += np.bincount(u, self.leaf_tables, n)
+        """(class or a negative key, customers, tables) of this bucket."""
+        customers = np.bincount(self.class_id, self.class_customers, CLASSES)
+        tables = np.bincount(self.class_id, self.class_tables, CLASSES)
         at = np.flatnonzero(customers)
         singles = lambda c: (float((c == 1).sum()), float((c == 2).sum()))
         extra = [(self.root_customers.sum(), self.root_tables.sum()), (float((self.total > 0).sum()), self.total.sum()),
@@ -299,42 +294,111 @@ class Bucket:
         keys = np.append(at, -1 - np.arange(len(extra)))
         return keys, np.append(customers[at], [e[0] for e in extra]), np.append(tables[at], [e[1] for e in extra])
 
+    def word_totals(self, contexts: Contexts):
+        """(word before, customers, customers without a table of their own) that this bucket knows.
+
+        The bucket that a word itself is in knows its customers: each of its tokens has a next one.
+        Words without a dish of two customers lack no table, so only words seen twice count.
+        """
+        many = self.leaf_at[self.count[self.leaf_at] > 1]
+        lacking = np.bincount(self.context[many] - CLASSES, (self.count - 0.0)[many], len(contexts.words))
+        lacking -= np.bincount(self.context[many] - CLASSES, self.leaf_tables[self.count[self.leaf_at] > 1], len(contexts.words))
+        seats = np.unique(self.context[many] - CLASSES)
+        own = self.total > 1
+        words, at = np.unique(np.concatenate([contexts.words[seats], self.words[own]]), return_inverse=True)
+        customers, lack = np.zeros(len(words)), np.zeros(len(words))
+        lack[at[: len(seats)]] = lacking[seats]
+        customers[at[len(seats) :]] = self.total[own]
+        return words, customers, lack
+
+
+_STATS = "word boolean, bucket long, k long, customers double, tables double"
+
+
+def _stats(b: int, bucket: Bucket, contexts: Contexts) -> pa.Table:
+    parts = [bucket.totals(), bucket.word_totals(contexts)]
+    n = [len(p[0]) for p in parts]
+    k, customers, tables = (np.concatenate([p[c].view(np.int64) if c == 0 else p[c] for p in parts]) for c in range(3))
+    columns = [pa.array(np.repeat([False, True], n)), pa.array(np.full(sum(n), b)), *map(pa.array, (k, customers, tables))]
+    return pa.table(columns, ["word", "bucket", "k", "customers", "tables"])
 
-def _round(contexts, totals: Totals | None, number: int):
-    def run(batches):
-        for batch in batches:
-            for b, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
-                bucket = Bucket(data.as_buffer(), contexts.value)
-                if totals is not None:
-                    rng = np.random.default_rng([b, number])
-                    for _ in range(SWEEPS):
-                        bucket.sweep(totals, rng)
-                keys, customers, tables = bucket.totals()
-                yield pa.record_batch([pa.array(keys), pa.array(customers), pa.array(tables)], ["k", "customers", "tables"])
+
+def _contexts(row) -> Contexts:
+    return Contexts(*_read(zlib.decompress(row["contexts"]), np.uint64, np.uint8))
+
+
+def _first(batches):
+    for batch in batches:
+        for r in batch.to_pylist():
+            contexts = _contexts(r)
+            yield from _stats(r["bucket"], Bucket(r["data"], contexts), contexts).to_batches()
+
+
+def _known(bucket: Bucket, contexts: Contexts, totals: Totals, known: pa.Table):
+    """The totals with those of the bucket's contexts; of the bucket's own words, the missing tables.
+
+    Contexts that the bucket seats nobody anew for are left at zero, for nothing depends on them.
+    """
+    k = known["k"].to_numpy().view(np.uint64)
+    order = np.argsort(k)
+    k, customers, lack = k[order], known["customers"].to_numpy()[order], known["tables"].to_numpy()[order]
+
+    def at(words, values):
+        if not len(k):
+            return np.zeros(len(words))
+        i = np.minimum(np.searchsorted(k, words), len(k) - 1)
+        return np.where(k[i] == words, values[i], 0)
+
+    of = at(contexts.words, customers)
+    tables = of - at(contexts.words, lack)
+    held = totals._replace(
+        customers=np.append(totals.customers, of), tables=np.append(totals.tables, tables)
+    )
+    return held, at(bucket.words, lack)
+
+
+def _round(totals: Totals, number: int):
+    def run(merged: pa.Table, known: pa.Table) -> pa.Table:
+        r = merged.to_pylist()[0]
+        contexts = _contexts(r)
+        bucket = Bucket(r["data"], contexts)
+        held, _ = _known(bucket, contexts, totals, known)
+        rng = np.random.default_rng([r["bucket"], number])
+        for _ in range(SWEEPS):
+            bucket.sweep(held, rng)
+        return _stats(r["bucket"], bucket, contexts)
 
     return run
 
 
-def _answer(contexts, totals: Totals):
-    """Per chunk and bucket: training counts of its words, log10 probabilities of its pairs."""
-
-    def run(batches):
-        for batch in batches:
-            for b, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
-                bucket = Bucket(data.as_buffer(), contexts.value)
-                rng = np.random.default_rng([b, 99])
-                mean = np.zeros(len(bucket.context))
-                for k in range(1 + SWEEPS):  # the first sweep only forgets the start
-                    bucket.sweep(totals, rng)
-                    if k:
-                        mean += bucket.predict(totals)[2] / SWEEPS
-                value = np.log10(mean).astype(np.float32)
-                ends = np.cumsum(bucket.sizes)
-                for chunk, lo, hi in zip(bucket.chunks.tolist(), ends - bucket.sizes, ends):
-                    asked = bucket.asked[lo:hi]
-                    words = np.unique(bucket.word_of[asked])
-                    out = _arrays(bucket.total[words].astype(np.int64), value[asked])
-                    yield pa.record_batch([pa.array([b]), pa.array([chunk]), pa.array([out], pa.binary())], ["bucket", "chunk", "data"])
+def _answer(totals: Totals):
+    """Per chunk and bucket: counts and missing tables of its words; of its pairs the discounted
+    customers and the parent's probability, from which the chunk gets theirs."""
+
+    def run(merged: pa.Table, known: pa.Table) -> pa.Table:
+        r = merged.to_pylist()[0]
+        b, contexts = r["bucket"], _contexts(r)
+        bucket = Bucket(r["data"], contexts)
+        held, lack = _known(bucket, contexts, totals, known)
+        rng = np.random.default_rng([b, 99])
+        tables, parent = np.zeros(len(bucket.leaf_at)), np.zeros(len(bucket.classes))
+        for k in range(1 + SWEEPS):  # the first sweep only forgets the start
+            bucket.sweep(held, rng)
+            if k:
+                tables += bucket.leaf_tables / SWEEPS
+                parent += bucket.predict(held)[1] / SWEEPS
+        seated = np.zeros(len(bucket.context), np.float32)
+        seated[bucket.leaf_at] = bucket.count[bucket.leaf_at] - totals.discounts[2] * tables
+        parent = parent.astype(np.float32)[bucket.class_of]
+        ends = np.cumsum(bucket.sizes)
+        out = []
+        for lo, hi in zip(ends - bucket.sizes, ends):
+            asked = bucket.asked[lo:hi]
+            words = np.unique(bucket.word_of[asked])
+            data = _arrays(bucket.total[words].astype(np.int64), lack[words], seated[asked], parent[asked])
+            out.append(zlib.compress(data, 1))
+        return pa.table([pa.array([b] * len(out), pa.int64()), pa.array(bucket.chunks), pa.array(out, pa.binary())],
+                        ["bucket", "chunk", "data"])
 
     return run
 
@@ -345,17 +409,27 @@ _OUT = pa.schema(
 )
 
 
-def _score(contexts, totals: Totals, bits: int):
+def _score(totals: Totals, bits: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _OUT.empty_table()
         t = tokens_of(docs)
-        words, of_word, _, _, index = distinct_pairs(t, contexts.value)
+        words, contexts, of_word, context, _, index = distinct_pairs(t)
         begin = np.searchsorted(of_word, np.arange(len(words) + 1))
         said = dict(zip(answers["bucket"].to_pylist(), answers["data"]))
-        count, value = np.zeros(len(words), np.int64), np.zeros(len(of_word))
+        count, lack = np.zeros(len(words), np.int64), np.zeros(len(words))
+        seated, parent = np.zeros(len(of_word)), np.zeros(len(of_word))
         for b, lo, hi in _cuts(words, bits):
-            count[lo:hi], value[begin[lo] : begin[hi]] = _read(said[b].as_buffer(), np.int64, np.float32)
+            p = slice(begin[lo], begin[hi])
+            count[lo:hi], lack[lo:hi], seated[p], parent[p] = _read(
+                zlib.decompress(said[b].as_buffer()), np.int64, np.float64, np.float32, np.float32
+            )
+        probability = parent
+        leaf = np.flatnonzero(context >= CLASSES)
+        u = np.searchsorted(words, contexts.words)[context[leaf] - CLASSES]  # a word before is a word of the chunk
+        fresh = STRENGTH + totals.discounts[2] * (count[u] - lack[u])
+        probability[leaf] = (seated[leaf] + fresh * parent[leaf]) / (STRENGTH + count[u])
+        value = np.log10(probability)
         known = count[of_word[index]]
         base = np.log10((known + 1) / (totals.tokens + 1 * (totals.vocabulary + 1)))
         add = lambda x: np.add.reduceat(x, t.first[:-1])
@@ -367,10 +441,10 @@ def _score(contexts, totals: Totals, bits: int):
     return run
 
 
-def _sum(rounds: DataFrame, n: int) -> Totals:
-    """Totals over all buckets; one row per restaurant comes to the driver, a bounded number."""
-    rows = rounds.groupBy("k").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).collect()
-    customers, tables, extra = np.zeros(n), np.zeros(n), {}
+def _sum(stats: DataFrame) -> Totals:
+    """Totals over all buckets but those of words; one row per class comes to the driver."""
+    rows = stats.where("not word").groupBy("k").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).collect()
+    customers, tables, extra = np.zeros(CLASSES), np.zeros(CLASSES), {}
     for r in rows:
         if r["k"] >= 0:
             customers[r["k"]], tables[r["k"]] = r["c"], r["t"]
@@ -381,30 +455,32 @@ def _sum(rounds: DataFrame, n: int) -> Totals:
     return Totals(customers, tables, *get(0), int(get(1)[0]), int(get(1)[1]), tuple(discount(*get(k)) for k in (2, 3, 4)))
 
 
+def _by_word(stats: DataFrame) -> DataFrame:
+    """Totals of words before, for each bucket that knows of them."""
+    words = stats.where("word")
+    summed = words.groupBy("k").agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
+    return words.select("bucket", "k").join(summed, "k").select("bucket", "k", "customers", "tables")
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of all ``docs``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = n_chunks(docs, "text", 1)
     bits = max(3, (total // 6_000_000).bit_length())
-    found = docs.mapInArrow(_frequent, "word long, class long, n long").groupBy("word").agg(
-        F.sum("n").alias("n"), F.min("class").alias("class")
-    )
-    found = found.where(F.col("n") >= SHARE * F.coalesce(found.where("word = 0").agg(F.max("n")).scalar(), F.lit(0)))
-    found = sorted((int(np.int64(r["word"]).view(np.uint64)), r["class"]) for r in found.where("word != 0").collect())
-    contexts = Contexts(np.array([w for w, _ in found], np.uint64), np.array([c for _, c in found], np.int64))
-    sent = spark.sparkContext.broadcast(contexts)
-    n = CLASSES + len(found)
 
     dealt = in_chunks(docs, "doc_id", max(1, -(-total // CHUNK_BYTES)))
-    asked = dealt.groupBy("chunk").applyInArrow(_ask(contexts, bits), _DATA)
-    merged = stored(asked.groupBy("bucket").applyInArrow(_merge, _DATA), "restaurants")
+    asked = dealt.groupBy("chunk").applyInArrow(_ask(bits), _DATA)
+    merged = stored(asked.groupBy("bucket").applyInArrow(_merge, _MERGED), "restaurants")
     release(spark)
-    stat = "k long, customers double, tables double"
-    totals = None
-    for number in range(1 + ROUNDS):
-        totals = _sum(merged.mapInArrow(_round(sent, totals, number), stat), n)
-    answers = merged.mapInArrow(_answer(sent, totals), _DATA)
+    stats = stored(merged.mapInArrow(_first, _STATS), "totals")
+    # the model meets the totals of its contexts bucket by bucket
+    meet = lambda run, ddl: merged.groupBy("bucket").cogroup(_by_word(stats).groupBy("bucket")).applyInArrow(run, ddl)
+    for number in range(1, 1 + ROUNDS):
+        stats = stored(meet(_round(_sum(stats), number), _STATS), "totals")
+        release(spark)
+    totals = _sum(stats)
     ddl = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
            "base_score double, score double")
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(sent, totals, bits), ddl)
+    answers = meet(_answer(totals), _DATA)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(totals, bits), ddl)
