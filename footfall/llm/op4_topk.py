@@ -57,7 +57,8 @@ def _pack(group: pa.Table) -> pa.Table:
 def _blocks(vectors: DataFrame, size: int) -> tuple[DataFrame, int]:
     """``vectors`` (id, dim, v) in blocks of about ``size``, one row each; how many numbers there are."""
     n = max(1, -(-vectors.count() // size))
-    at = F.pmod(F.xxhash64("id"), F.lit(n))
+    # dealt by row, so that repeated ids don't gather in one block; any deal gives the same result
+    at = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n))
     return vectors.withColumn("block", at).groupBy("dim", "block").applyInArrow(_pack, _BLOCK_SCHEMA), n
 
 
@@ -70,8 +71,9 @@ def search_block(q_ids, q, ids, exact, cells, edges, k: int):
     upper = positive @ high.T + negative @ low.T
     lower = positive @ low.T + negative @ high.T
     n = len(ids)
-    if n > k + 1:  # the k-th best lower bound, with one to spare for the query itself
-        floor = np.partition(lower, n - k - 1, axis=1)[:, n - k - 1]
+    if n > k:  # the k-th best lower bound of rows other than the query's own
+        lower[ids[None, :] == np.asarray(q_ids)[:, None]] = -np.inf
+        floor = np.partition(lower, n - k, axis=1)[:, n - k]
     else:
         floor = np.full(len(q_ids), -np.inf)
     for i in range(len(q_ids)):
