@@ -455,7 +455,9 @@ def over_orders(events_sql: str) -> str:
     return base(RAW_ORDERS, ORDERS_START, ORDERS_END) + body.replace(END, ORDERS_END)
 
 
-ORACLE["stored_day_rerun"] = ORACLE["dws_hourly"]
+ORACLE["stored_day_rerun"] = ORACLE["summary_hourly"] = ORACLE["dws_hourly"]
+ORACLE["summary_hourly_distribution"] = ORACLE["hourly_distribution"]
+ORACLE["summary_heatmap"] = ORACLE["heatmap_hour_dow"]
 ORACLE["result_csv_reload"] = ORACLE["daily_pv_uv"]
 ORACLE["summary_repurchase"] = ORACLE["repurchase_distribution"]
 for _name in (

@@ -13,6 +13,10 @@ from footfall.sources import load_raw
 from footfall import streaming
 
 
+def _days(text: str) -> tuple[int, ...]:
+    return tuple(int(day) for day in text.split(","))
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="footfall", description=__doc__)
     steps = parser.add_subparsers(dest="step", required=True)
@@ -32,6 +36,10 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--tz", default="Asia/Shanghai")
         if name in ("clean", "report", "all"):
             sub.add_argument("--end", default=DATE_END)
+        if name in ("report", "export", "all"):
+            sub.add_argument(
+                "--retention", type=_days, default=(1, 2, 3), metavar="1,2,3", help="days after the first"
+            )
         if name == "clean":
             sub.add_argument("--replace-days-only", action="store_true")
         if name == "export":
@@ -98,9 +106,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.step in ("summarise", "all"):
         warehouse.build_summaries(spark, args.root)
     if args.step in ("report", "all"):
-        warehouse.build_reports(spark, args.root, args.end)
+        warehouse.build_reports(spark, args.root, args.end, offsets=args.retention)
     if args.step == "export":
-        warehouse.export_reports(spark, args.out, args.root, head=args.head)
+        warehouse.export_reports(spark, args.out, args.root, head=args.head, offsets=args.retention)
     if args.step in ("verify", "all"):
         for result in warehouse.verify(spark, args.root).values():
             preview(result, 30)

@@ -16,7 +16,13 @@ from footfall.operators.quality import (
     top_rows,
 )
 from footfall.operators.ranking import category_top_items, top_categories, top_items
-from footfall.operators.summaries import daily_summary, hourly_summary
+from footfall.operators.summaries import (
+    active_hours,
+    daily_summary,
+    day_activity,
+    hourly_summary,
+    user_days,
+)
 from footfall.operators.traffic import (
     daily_pv_uv,
     heatmap_hour_dow,
@@ -25,6 +31,7 @@ from footfall.operators.traffic import (
 )
 
 __all__ = [
+    "active_hours",
     "behavior_funnel",
     "behavior_share",
     "category_top_items",
@@ -32,6 +39,7 @@ __all__ = [
     "clean_audit",
     "daily_pv_uv",
     "daily_summary",
+    "day_activity",
     "has_rows",
     "heatmap_hour_dow",
     "hourly_distribution",
@@ -45,6 +53,7 @@ __all__ = [
     "top_categories",
     "top_items",
     "top_rows",
+    "user_days",
     "user_path",
     "user_rfm",
     "weekday_vs_weekend",

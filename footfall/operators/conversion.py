@@ -54,34 +54,60 @@ def user_path(
     """Counts of previous -> current behaviour per user, with the share within ``from``.
 
     Events of one user in the same second are taken in order of behaviour. Equal events of one
-    second are merged before the per-user window: a run of n of them is n - 1 transitions to
-    itself. That bounds what one user can bring to the window by the seconds of the period
-    times the behaviours, however many events the user has.
+    second are merged before any window: a run of n of them is n - 1 transitions to itself.
+    Windows are split by day, so a task orders at most one day of a user at a time; the first and
+    last behaviour of each day then link the days of a user, whatever lies between them. All in
+    one pass: steps within days collapse to their counts on the map side of the shuffle that
+    carries the day ends.
     """
+    at = F.col("event_time").cast("timestamp_ntz")
     runs = (
         clock.in_date_range(detail, start, end)
-        .groupBy("user_id", F.col("event_time").cast("timestamp_ntz").alias("at"), "behavior")
+        .groupBy("user_id", at.alias("at"), "behavior")
         .agg(F.count("*").alias("events"))
+        .withColumn("day", F.col("at").cast("date"))
     )
-    in_order = Window.partitionBy("user_id").orderBy("at", "behavior")
-    steps = (
-        runs.withColumn("previous", F.lag("behavior").over(in_order))
-        .groupBy("previous", "behavior")
-        .agg(F.count("*").alias("entered"), F.sum(F.col("events") - 1).alias("repeated"))
+    in_day = Window.partitionBy("user_id", "day").orderBy("at", "behavior")
+    runs = runs.withColumns(
+        {"previous": F.lag("behavior").over(in_day), "next": F.lead("behavior").over(in_day)}
     )
-    edge = [
-        F.struct(
-            F.col(source).alias("from_behavior"),
-            F.col("behavior").alias("to_behavior"),
-            F.col(times).alias("n"),
+    rows = runs.select(
+        F.inline(
+            F.array(
+                _path_row(F.col("previous"), F.lit(1)),
+                _path_row(F.col("behavior"), F.col("events") - 1),
+                _path_row(F.lit(None), F.lit(0), user=F.col("user_id"), at=F.col("at")),
+            )
         )
-        for source, times in (("previous", "entered"), ("behavior", "repeated"))
-    ]
-    edges = steps.select(F.inline(F.array(*edge))).filter(
-        F.col("from_behavior").isNotNull() & (F.col("n") > 0)
     )
+    opens, closes, inside = F.col("opens"), F.col("closes"), F.col("inside")
+    rows = rows.filter(F.when(inside, F.col("n") > 0).otherwise(opens | closes))
+    kept = rows.groupBy(*(c for c in rows.columns if c != "n")).agg(F.sum("n").alias("n"))
+    day_ends = Window.partitionBy("inside", "user_id").orderBy("at", "to_behavior")
+    kept = kept.withColumn("before", F.lag("to_behavior").over(day_ends))
+    # within a day a step has its own count; between days the first behaviour follows the last one
+    source = F.when(inside, F.col("from_behavior")).when(opens, F.col("before"))
+    edges = kept.select(
+        source.alias("from_behavior"), "to_behavior", F.when(inside, F.col("n")).otherwise(1).alias("n")
+    ).filter(F.col("from_behavior").isNotNull())
     counted = edges.groupBy("from_behavior", "to_behavior").agg(F.sum("n").alias("path_count"))
     leaving = F.sum("path_count").over(Window.partitionBy("from_behavior"))
     return conform(
         counted.withColumn("path_ratio", percent(F.col("path_count"), leaving)), "ads.user_path"
     ).orderBy("from_behavior", F.desc("path_count"), "to_behavior")
+
+
+def _path_row(source: Column, n: Column, user: Column | None = None, at: Column | None = None) -> Column:
+    """A step inside a day with its count, or, given the user and the time, the end of a day."""
+    inside = user is None
+    no, yes = F.lit(False), F.lit(True)
+    return F.struct(
+        F.lit(inside).alias("inside"),
+        (F.lit(None).cast("bigint") if inside else user).alias("user_id"),
+        (F.lit(None).cast("timestamp_ntz") if inside else at).alias("at"),
+        (no if inside else F.col("previous").isNull()).alias("opens"),
+        (no if inside else F.col("next").isNull()).alias("closes"),
+        source.cast("string").alias("from_behavior"),
+        F.col("behavior").alias("to_behavior"),
+        F.when(source.isNotNull() if inside else yes, n).otherwise(0).cast("bigint").alias("n"),
+    )

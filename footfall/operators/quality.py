@@ -35,31 +35,29 @@ def behavior_share(raw: DataFrame) -> DataFrame:
 def table_profile(detail: DataFrame) -> DataFrame:
     """One row: rows, distinct users, items and categories, first and last date.
 
-    Each distinct count is an aggregation of its own over one narrow column, which avoids
-    multiplying the rows for several distinct counts at once.
+    One pass: every row gives one (column, value) pair per counted column, equal pairs merge on
+    the map side, and what is left to count after the shuffle is one row per distinct value. The
+    pairs carry the rows and the days they stand for, so nothing else has to be read.
     """
-    day = F.col("event_date").cast("date")
-    parts = [
-        detail.agg(
-            F.count("*").alias("row_count"),
-            F.min(day).alias("min_date"),
-            F.max(day).alias("max_date"),
-        ),
-        detail.agg(F.count_distinct("user_id").alias("user_count")),
-        detail.agg(F.count_distinct("item_id").alias("item_count")),
-        detail.agg(F.count_distinct("category_id").alias("category_count")),
+    ids = ("user_id", "item_id", "category_id")
+    pair = [
+        F.struct(F.lit(k).alias("which"), F.col(c).cast("bigint").alias("value"))
+        for k, c in enumerate(ids)
     ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    merged = stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
-    return merged.select(
-        "row_count",
-        "user_count",
-        "item_count",
-        "category_count",
-        F.col("min_date").cast("string").alias("min_date"),
-        F.col("max_date").cast("string").alias("max_date"),
+    values = (
+        detail.select(clock.day_number(F.col("event_date")).alias("day"), F.inline(F.array(*pair)))
+        .groupBy("which", "value")
+        .agg(F.count("*").alias("n"), F.min("day").alias("first"), F.max("day").alias("last"))
+    )
+    which, held = F.col("which"), F.col("value").isNotNull()
+    return values.agg(
+        F.coalesce(F.sum(F.when(which == 0, F.col("n"))), F.lit(0)).cast("bigint").alias("row_count"),
+        *(
+            F.count_if((which == k) & held).alias(c.replace("_id", "_count"))
+            for k, c in enumerate(ids)
+        ),
+        clock.day_text(F.min("first")).alias("min_date"),
+        clock.day_text(F.max("last")).alias("max_date"),
     )
 
 

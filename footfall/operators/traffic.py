@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from footfall.functions.measures import (
     is_summary,
     ratio,
 )
-from footfall.operators.summaries import hourly_measures
+from footfall.operators.summaries import hourly_measures, merge_hours
 from footfall.schemas import conform
 
 
@@ -59,17 +61,24 @@ def daily_pv_uv(
 
 
 def hourly_distribution(
-    detail: DataFrame, start: str | None = None, end: str | None = None
+    rel: DataFrame,
+    user_hours: DataFrame | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
-    """Per hour of day: page views, users of any behaviour, carts, purchases."""
-    detail = clock.in_date_range(detail, start, end)
-    hours = hourly_measures(
-        detail,
-        users="uv",
-        pv=amount(detail, "pv"),
-        cart_count=amount(detail, "cart"),
-        buy_count=amount(detail, "buy"),
-    )
+    """Per hour of day: page views, users of any behaviour, carts, purchases.
+
+    ``rel`` is the detail, or the stored hourly summary together with the users' active hours per
+    day in ``user_hours``.
+    """
+    rel = clock.in_date_range(rel, start, end)
+    sums = {"pv": "pv", "cart_count": "cart", "buy_count": "buy"}
+    if is_summary(rel):
+        named = rel.select("event_hour", *(F.col(count_name(b)).alias(m) for m, b in sums.items()))
+        masks = clock.in_date_range(user_hours, start, end)
+        hours = merge_hours(named, masks, users="uv", measures=list(sums))
+    else:
+        hours = hourly_measures(rel, users="uv", **{m: amount(rel, b) for m, b in sums.items()})
     return conform(hours, "ads.hourly_distribution").orderBy("event_hour")
 
 
@@ -127,15 +136,31 @@ def _per_user(rows: DataFrame) -> DataFrame:
 
 
 def heatmap_hour_dow(
-    detail: DataFrame, start: str | None = None, end: str | None = None
+    rel: DataFrame,
+    user_hours: DataFrame | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
-    """Per weekday and hour: events of any behaviour (``pv_count``), purchases, users."""
-    detail = clock.in_date_range(detail, start, end)
-    cells = hourly_measures(
-        detail,
-        "day_of_week",
-        users="active_users",
-        pv_count=F.lit(1),
-        buy_count=amount(detail, "buy"),
-    )
+    """Per weekday and hour: events of any behaviour (``pv_count``), purchases, users.
+
+    ``rel`` is the detail, or the stored hourly summary, whose behaviours are then all there are,
+    together with the users' active hours per day in ``user_hours``.
+    """
+    rel = clock.in_date_range(rel, start, end)
+    if is_summary(rel):
+        dow = F.dayofweek(F.col("event_date").cast("date")).alias("day_of_week")
+        every = reduce(add, (F.col(count_name(b)) for b in BEHAVIORS))
+        sums = rel.select(dow, "event_hour", every.alias("pv_count"), "buy_count")
+        masks = clock.in_date_range(user_hours, start, end).select(dow, "user_id", "hours")
+        cells = merge_hours(
+            sums, masks, "day_of_week", users="active_users", measures=["pv_count", "buy_count"]
+        )
+    else:
+        cells = hourly_measures(
+            rel,
+            "day_of_week",
+            users="active_users",
+            pv_count=F.lit(1),
+            buy_count=amount(rel, "buy"),
+        )
     return conform(cells, "ads.heatmap_hour_dow").orderBy("day_of_week", "event_hour")

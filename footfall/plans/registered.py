@@ -107,6 +107,18 @@ def stored_detail(spark: SparkSession, folder: str) -> str:
     return root
 
 
+def stored_hours(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """Run ``f`` over the stored hourly summary and the users' active hours: one pass over the detail."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = scratch_dir(spark, "warehouse")
+        sinks.save(op.day_activity(detail(spark, folder)), "dws.activity", root)
+        activity = read_layer(spark, "dws.activity", root)
+        return f(op.hourly_summary(activity), op.active_hours(activity))
+
+    return query
+
+
 def stored_partition_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Write the detail by day, read one week of it back, count rows per day."""
     root = stored_detail(spark, folder)
@@ -240,6 +252,9 @@ QUERIES: dict[str, Query] = {
     "summary_retention": summaries_then(op.retention, "user_id"),
     "summary_user_rfm": summaries_then(rfm, "user_id"),
     "summary_repurchase": summaries_then(op.repurchase_distribution, "user_id"),
+    "summary_hourly": stored_hours(lambda hours, users: hours),
+    "summary_hourly_distribution": stored_hours(op.hourly_distribution),
+    "summary_heatmap": stored_hours(op.heatmap_hour_dow),
     # the same analyses over order lines
     "orders_clean_audit": lambda spark, folder: op.clean_audit(
         orders_as_raw(spark, folder), ORDERS_CUT_START, ORDERS_CUT_END

@@ -1,21 +1,23 @@
 """The warehouse build: raw -> detail -> daily summaries -> reports -> report files.
 
 Tables live in the session catalog (``root=None``) or in folders below ``root``. Most reports
-are computed from the daily summaries, which are far smaller than the detail; only the four that
-need single events or hours read the detail itself.
+are computed from the summaries, which are far smaller than the detail; only the two that need
+single events, or items within categories, read the detail itself.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall import operators as op
 from footfall.operators.cleaning import DATE_END, DATE_START
+from footfall.schemas import retention_columns
 from footfall.sinks import create_databases, export_csv, save
 from footfall.sources import load_raw, read_layer
 
@@ -27,12 +29,16 @@ USER_DAYS = "dws.user_daily_behavior"
 ITEM_DAYS = "dws.item_daily_behavior"
 CATEGORY_DAYS = "dws.category_daily_behavior"
 HOURS = "dws.hourly_behavior"
-
-SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    USER_DAYS: lambda d: op.daily_summary(d, "user_id"),
-    ITEM_DAYS: lambda d: op.daily_summary(d, "item_id"),
-    CATEGORY_DAYS: lambda d: op.daily_summary(d, "category_id"),
-    HOURS: op.hourly_summary,
+ACTIVITY = "dws.activity"
+
+#: Each summary with the table it is computed from. The activity is written first: one pass over
+#: the detail that the user-day and the hourly summary share.
+SUMMARIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    ACTIVITY: (DETAIL_TABLE, op.day_activity),
+    USER_DAYS: (ACTIVITY, op.user_days),
+    HOURS: (ACTIVITY, op.hourly_summary),
+    ITEM_DAYS: (DETAIL_TABLE, lambda d: op.daily_summary(d, "item_id")),
+    CATEGORY_DAYS: (DETAIL_TABLE, lambda d: op.daily_summary(d, "category_id")),
 }
 
 
@@ -44,24 +50,34 @@ class Report:
     reads: tuple[str, ...]
     order: tuple[str, ...] = ()
     long: bool = False
+    schema: StructType | None = None
+
 
+def reports(end: str = DATE_END, offsets: Sequence[int] = (1, 2, 3)) -> dict[str, Report]:
+    """All reports, in an order in which each finds the tables it reads.
 
-def reports(end: str = DATE_END) -> dict[str, Report]:
-    """All reports, in an order in which each finds the tables it reads."""
+    ``offsets`` are the days after which retention is measured.
+    """
     return {
         "ads.daily_pv_uv": Report(op.daily_pv_uv, (USER_DAYS, ITEM_DAYS)),
-        "ads.hourly_distribution": Report(op.hourly_distribution, (DETAIL_TABLE,)),
+        "ads.hourly_distribution": Report(
+            lambda hours, days: op.hourly_distribution(hours, op.active_hours(days)), (HOURS, ACTIVITY)
+        ),
         "ads.behavior_funnel": Report(op.behavior_funnel, (USER_DAYS,)),
         "ads.top_items": Report(op.top_items, (ITEM_DAYS,)),
         "ads.top_categories": Report(op.top_categories, (CATEGORY_DAYS,)),
         "ads.weekday_vs_weekend": Report(op.weekday_vs_weekend, (USER_DAYS,)),
-        "ads.retention": Report(op.retention, (USER_DAYS,)),
+        "ads.retention": Report(
+            lambda days: op.retention(days, offsets), (USER_DAYS,), schema=retention_columns(offsets)
+        ),
         "ads.user_rfm": Report(
             lambda days: op.user_rfm(days, end), (USER_DAYS,), order=("user_id",), long=True
         ),
         "ads.rfm_summary": Report(op.rfm_summary, ("ads.user_rfm",)),
         "ads.user_path": Report(op.user_path, (DETAIL_TABLE,)),
-        "ads.heatmap_hour_dow": Report(op.heatmap_hour_dow, (DETAIL_TABLE,)),
+        "ads.heatmap_hour_dow": Report(
+            lambda hours, days: op.heatmap_hour_dow(hours, op.active_hours(days)), (HOURS, ACTIVITY)
+        ),
         "ads.repurchase_distribution": Report(op.repurchase_distribution, (USER_DAYS,)),
         "ads.category_top_items": Report(
             lambda detail, days: op.category_top_items(detail, category_days=days),
@@ -104,13 +120,13 @@ def build_detail(
 
 
 def build_summaries(spark: SparkSession, root: str | None = None) -> None:
-    """Write the four summary tables."""
+    """Write the summary tables."""
     detail = read_layer(spark, DETAIL_TABLE, root)
     if not op.has_rows(detail):
         log.error("the detail layer is empty")
         return
-    for name, summarise in SUMMARIES.items():
-        save(summarise(detail), name, root)
+    for name, (source, summarise) in SUMMARIES.items():
+        save(summarise(read_layer(spark, source, root)), name, root)
 
 
 def build_reports(
@@ -118,15 +134,16 @@ def build_reports(
     root: str | None = None,
     end: str = DATE_END,
     only: Iterable[str] | None = None,
+    offsets: Sequence[int] = (1, 2, 3),
 ) -> list[str]:
     """Write the report tables; returns the names written, leaving out empty results."""
     wanted = set(only) if only is not None else None
     written = []
-    for name, report in reports(end).items():
+    for name, report in reports(end, offsets).items():
         if wanted is not None and name not in wanted:
             continue
         result = report.compute(*(read_layer(spark, table, root) for table in report.reads))
-        save(result, name, root)
+        save(result, name, root, schema=report.schema)
         if op.has_rows(read_layer(spark, name, root)):
             written.append(name)
         else:
@@ -140,16 +157,17 @@ def export_reports(
     root: str | None = None,
     names: Iterable[str] | None = None,
     head: int | None = None,
+    offsets: Sequence[int] = (1, 2, 3),
 ) -> None:
     """Export whole report tables as CSV with a header, short ones as one file each.
 
     ``head`` cuts long tables (one row per user) to their first rows, which then fit in one file.
     """
-    known = reports()
+    known = reports(offsets=offsets)
     for name in known if names is None else names:
         report = known[name]
         export_csv(
-            read_layer(spark, name, root),
+            read_layer(spark, name, root, schema=report.schema),
             f"{out.rstrip('/')}/{name.split('.')[1]}",
             head=head if report.long else None,
             order=report.order,
@@ -175,10 +193,11 @@ def build_all(
     start: str = DATE_START,
     end: str = DATE_END,
     tz: str = "Asia/Shanghai",
+    offsets: Sequence[int] = (1, 2, 3),
 ) -> DataFrame | None:
     """Run every step on a raw CSV; returns the cleaning audit."""
     build_raw(spark, csv_path, root)
     audit = build_detail(spark, root, start, end, tz)
     build_summaries(spark, root)
-    build_reports(spark, root, end)
+    build_reports(spark, root, end, offsets=offsets)
     return audit

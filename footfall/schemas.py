@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     DataType,
@@ -48,6 +50,12 @@ EVENTS = columns(
     event_id=LONG, ts=TimestampNTZType(), user_id=LONG, event_type=TEXT, value=REAL, props=TEXT
 )
 
+
+def retention_columns(offsets: Sequence[int]) -> StructType:
+    """The retention table with one rate per day offset."""
+    return columns(first_date=TEXT, new_users=LONG, **{f"day_{n}": REAL for n in offsets})
+
+
 TABLES: dict[str, StructType] = {
     "ods.user_behavior": RAW,
     "dwd.user_behavior_detail": DETAIL,
@@ -55,6 +63,10 @@ TABLES: dict[str, StructType] = {
     "dws.item_daily_behavior": columns(item_id=LONG, event_date=TEXT, **_COUNTS),
     "dws.category_daily_behavior": columns(category_id=LONG, event_date=TEXT, **_COUNTS),
     "dws.hourly_behavior": columns(event_date=TEXT, event_hour=INT, **_COUNTS, uv_count=LONG),
+    # hours: the active hours of a user's day as bits
+    "dws.activity": columns(
+        event_date=TEXT, event_hour=INT, user_id=LONG, **_COUNTS, hours=INT, grain=TEXT
+    ),
     "ads.daily_pv_uv": columns(
         event_date=TEXT, pv=LONG, uv=LONG, item_count=LONG, avg_pv_per_user=REAL
     ),
@@ -69,7 +81,7 @@ TABLES: dict[str, StructType] = {
     "ads.weekday_vs_weekend": columns(
         day_type=TEXT, behavior=TEXT, total_count=LONG, user_count=LONG, avg_per_user=REAL
     ),
-    "ads.retention": columns(first_date=TEXT, new_users=LONG, day_1=REAL, day_2=REAL, day_3=REAL),
+    "ads.retention": retention_columns((1, 2, 3)),
     # frequency is a count and one user may exceed an INT
     "ads.user_rfm": columns(
         user_id=LONG,
@@ -109,7 +121,7 @@ TABLES: dict[str, StructType] = {
 }
 
 LAYERS = ("ods", "dwd", "dws", "ads")
-PARTITIONED_BY = {"dwd.user_behavior_detail": ("event_date",)}
+PARTITIONED_BY = {"dwd.user_behavior_detail": ("event_date",), "dws.activity": ("grain",)}
 
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall.schemas import LAYERS, PARTITIONED_BY, conform, create_table_ddl
 from footfall.sources.files import table_path
@@ -23,16 +24,20 @@ def create_table(spark: SparkSession, name: str, replace: bool = True) -> None:
 
 
 def save(
-    df: DataFrame, name: str, root: str | None = None, replace_days_only: bool = False
+    df: DataFrame,
+    name: str,
+    root: str | None = None,
+    replace_days_only: bool = False,
+    schema: StructType | None = None,
 ) -> None:
-    """Overwrite a registered table with ``df``, cast to the table's types.
+    """Overwrite a registered table with ``df``, cast to the table's types (or to ``schema``).
 
     A table partitioned by day is rebalanced on the day before it is written: the shuffle gives
     few files per day, and adaptive execution splits a large day over many tasks and files
     instead of sending it through one. ``replace_days_only`` replaces just the days that ``df``
     contains, so one day can be run again; otherwise the whole table is replaced.
     """
-    rows = conform(df, name)
+    rows = conform(df, schema or name)
     parts = PARTITIONED_BY.get(name, ())
     if parts:
         rows = rows.hint("rebalance", *(F.col(p) for p in parts))

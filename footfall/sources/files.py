@@ -70,17 +70,19 @@ def read_layer(
     root: str | None = None,
     start: str | None = None,
     end: str | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """A stored table: from the catalog, or from the warehouse folder ``root``.
 
     Given a day range, a table partitioned by day is read only for those days. The declared
-    schema is used, so the partition column stays a string and no file is opened to infer it.
+    schema (or ``schema``) is used, so the partition column stays a string and no file is opened to infer it.
     """
+    schema = schema or TABLES[name]
     if root is None:
-        df = spark.table(name).select(*TABLES[name].names)
+        df = spark.table(name).select(*schema.names)
     else:
-        df = spark.read.schema(TABLES[name]).parquet(table_path(root, name))
-    return in_date_range(df, start, end) if name in PARTITIONED_BY else df
+        df = spark.read.schema(schema).parquet(table_path(root, name))
+    return in_date_range(df, start, end) if "event_date" in PARTITIONED_BY.get(name, ()) else df
 
 
 def read_result_csv(spark: SparkSession, path: str, name: str) -> DataFrame:

@@ -178,3 +178,69 @@ def test_path_and_retention_against_plain_python(detail_of, seed):
 def test_behavior_share_counts_missing_behaviours_too(raw_of):
     raw = raw_of(*((1, 1, 1, b, 5) for b in ("pv", "pv", None, "odd")))
     assert rows(op.behavior_share(raw)) == [("pv", 2, 50.0), (None, 1, 25.0), ("odd", 1, 25.0)]
+
+
+def test_path_links_days_over_midnight_and_gaps(detail_of):
+    d = detail_of(
+        (1, 1, 1, "pv", at(1, "23:59:59")), (1, 1, 1, "cart", at(2, "00:00:00")),  # over midnight
+        (1, 1, 1, "buy", at(9)),  # after days without events; the only one of its day
+        (1, 1, 1, "fav", at(12, "08:00:00")), (1, 2, 1, "fav", at(12, "08:00:00")), (1, 1, 1, "pv", at(12, "09:00:00")),
+        (2, 1, 1, "buy", at(3)), (3, 1, 1, "pv", at(1)), (3, 1, 1, "pv", at(2)), (3, 1, 1, "pv", at(3)),
+    )
+    want = {("pv", "cart"): 1, ("cart", "buy"): 1, ("buy", "fav"): 1, ("fav", "fav"): 1, ("fav", "pv"): 1, ("pv", "pv"): 2}
+    assert {(r[0], r[1]): r[2] for r in rows(op.user_path(d))} == want
+    # a range that starts in the middle of a user's days has no step into its first day
+    late = {(r[0], r[1]): r[2] for r in rows(op.user_path(d, start="2024-03-02"))}
+    del want["pv", "cart"]
+    assert late == {**want, ("pv", "pv"): 1}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_hourly_results_against_plain_python(spark, detail_of, seed, tmp_path):
+    """Straight from the detail and from the stored activity; one user holds half of the events."""
+    from footfall import sinks
+    from footfall.sources import read_layer
+
+    rng = random.Random(seed)
+    events = []
+    for k in range(500):
+        user = 1 if rng.random() < 0.5 else rng.randint(2, 20)
+        time = f"{rng.choice([0, 1, 7, 22, 23]):02d}:{rng.randint(0, 59):02d}:00"
+        events.append((user, k, 1, rng.choice(["pv", "pv", "fav", "cart", "buy"]), at(rng.randint(1, 9), time)))
+    d = detail_of(*events)
+    sinks.save(op.day_activity(d), "dws.activity", str(tmp_path))
+    activity = read_layer(spark, "dws.activity", str(tmp_path))
+    hours, users = op.hourly_summary(activity), op.active_hours(activity)
+
+    def plain(key, *behaviors):
+        cells = {}
+        for user, _, _, behavior, time in events:
+            cell = cells.setdefault(key(time), [Counter(), set()])
+            cell[0][behavior] += 1
+            cell[1].add(user)
+        total = lambda c, b: sum(c.values()) if b == "all" else c[b]
+        return sorted((*k, *(total(c, b) for b in behaviors), len(u)) for k, (c, u) in cells.items())
+
+    def dow(time):
+        return (int(time[8:10]) - 1 + 5) % 7 + 1  # 2024-03-01 is a Friday
+
+    by_hour = sorted((h, p, u, c, b) for h, p, c, b, u in plain(lambda t: (int(t[11:13]),), "pv", "cart", "buy"))
+    by_day = plain(lambda t: (t[:10], int(t[11:13])), "pv", "fav", "cart", "buy")
+    by_dow = plain(lambda t: (dow(t), int(t[11:13])), "all", "buy")
+    for rel, masks in ((d, None), (hours, users)):
+        assert rows(op.hourly_distribution(rel, masks)) == by_hour
+        assert rows(op.heatmap_hour_dow(rel, masks)) == by_dow
+        cut = rows(op.hourly_distribution(rel, masks, "2024-03-02", "2024-03-02"))
+        assert [r[2] for r in cut] == [len(u) for _, u in sorted(
+            {h: {e[0] for e in events if e[4][:10] == "2024-03-02" and int(e[4][11:13]) == h} for h in range(24)}.items()
+        ) if u]
+    assert sorted(rows(op.hourly_summary(d))) == sorted(rows(hours)) == by_day
+    assert sorted(rows(op.user_days(activity))) == sorted(rows(op.daily_summary(d, "user_id")))
+
+
+def test_profile_counts_nulls_as_rows_only(spark):
+    d = spark.createDataFrame(
+        [(1, None, 5, "2024-03-02"), (1, 7, 5, "2024-03-01"), (None, 7, 6, "2024-03-05")],
+        "user_id long, item_id long, category_id long, event_date string",
+    )
+    assert rows(op.table_profile(d)) == [(3, 1, 1, 2, "2024-03-01", "2024-03-05")]

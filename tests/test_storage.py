@@ -130,6 +130,17 @@ def test_export_head_is_ordered(spark, tmp_path):
     assert lines == ["a,b\n0,0\n1,1\n2,2\n"]
 
 
+def test_retention_offsets_in_the_build(spark, csv, tmp_path, monkeypatch):
+    import footfall.__main__ as cli
+
+    monkeypatch.setattr(cli, "session", lambda *args, **kwargs: spark)
+    root, out = str(tmp_path / "wh"), tmp_path / "out"
+    main(["all", "--csv", csv, "--root", root, "--retention", "1,7,14"])
+    main(["export", "--root", root, "--out", str(out), "--retention", "1,7,14"])
+    head = next((out / "retention").glob("part-*.csv")).read_text().splitlines()[0]
+    assert head == "first_date,new_users,day_1,day_7,day_14"
+
+
 def test_command_line(spark, csv, tmp_path, capsys, monkeypatch):
     import footfall.__main__ as cli
 
