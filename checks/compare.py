@@ -46,7 +46,7 @@ def compare(spark, con, folder: str, name: str) -> str | None:
     want = rows_of(names, result.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
-    same = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+    same = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
     for column, kind in df.dtypes:
         if same.get(kind) != kinds[column]:
             return f"type of {column}: {kind} != {kinds[column]}"

@@ -268,6 +268,19 @@ WINDOWS = """windows AS (
   FROM raw e, range(3) i(i))"""
 
 ALL_RAW = "SELECT user_id, item_id, category_id, behavior, timestamp FROM raw"
+# The tables of each layer.
+CATALOG = ", ".join(
+    f"('{layer}', '{table}')"
+    for layer, tables in {
+        "ods": "user_behavior",
+        "dwd": "user_behavior_detail",
+        "dws": "user_daily_behavior item_daily_behavior category_daily_behavior hourly_behavior activity",
+        "ads": "daily_pv_uv hourly_distribution behavior_funnel top_items top_categories "
+        "weekday_vs_weekend retention user_rfm rfm_summary user_path heatmap_hour_dow "
+        "repurchase_distribution category_top_items",
+    }.items()
+    for table in tables.split()
+)
 _MATRIX = ", ".join(
     f"CAST(coalesce(sum(buy_count) FILTER (WHERE event_hour = {h}), 0) AS BIGINT) AS h{h}"
     for h in range(24)
@@ -398,6 +411,12 @@ FROM range(1, 8) d(d) LEFT JOIN heatmap h ON h.day_of_week = d.d GROUP BY d.d"""
     "rfm_sample": sql(
         "SELECT user_id, recency, frequency, monetary, monetary * 3 + 10 AS size FROM rfm", RFM
     ),
+    "rfm_sample_cut": sql(
+        """SELECT user_id, recency, frequency, monetary, monetary * 3 + 10 AS size FROM rfm
+ORDER BY md5(user_id || ':42'), user_id LIMIT 7""",
+        RFM,
+    ),
+    "result_csv_head": sql("SELECT * FROM rfm ORDER BY user_id LIMIT 20", RFM),
     "category_conversion_feed": sql(
         """SELECT ranking, CAST(category_id AS VARCHAR) AS category, pv_count, conversion_rate,
   (SELECT min(pv_count) FROM top_categories) AS min_pv,
@@ -446,6 +465,52 @@ GROUP BY ALL""",
         "SELECT DISTINCT window_start_s, behavior, CAST(1 AS INTEGER) AS within FROM windows", WINDOWS
     ),
     "stream_batch_files": sql(ALL_RAW),
+    "stream_numbered_files": sql(ALL_RAW),
+    "stream_file_sizes": sql(
+        """SELECT i.i + 1 AS batch, least(300, n - 300 * i.i) AS cnt
+FROM (SELECT count(*) AS n FROM raw), range(1000000) i(i) WHERE 300 * i.i < n"""
+    ),
+    "stream_row_limit": sql("SELECT least(700, count(*)) AS taken FROM raw"),
+    "stream_late_events": sql(
+        """SELECT window_start_s, behavior, count(*) AS events FROM windows
+GROUP BY window_start_s, behavior""",
+        WINDOWS,
+    ),
+    "ods_rejects": sql(
+        """SELECT CASE kind WHEN 2 THEN 'item_id' WHEN 3 THEN 'user_id,timestamp' ELSE 'fields' END AS reason,
+  CASE kind WHEN 0 THEN concat_ws(',', user_id, item_id, category_id, behavior)
+            WHEN 1 THEN concat_ws(',', user_id, item_id, category_id, behavior, timestamp, 'x')
+            WHEN 2 THEN concat_ws(',', user_id, 'n/a', category_id, behavior, timestamp)
+            ELSE concat_ws(',', 'u' || user_id, item_id, category_id, behavior, 'soon') END AS rejected_line
+FROM (SELECT *, (user_id + timestamp) % 10 AS kind FROM raw) WHERE kind <= 3"""
+    ),
+    "ods_accepted": sql(f"{ALL_RAW} WHERE (user_id + timestamp) % 10 > 3"),
+    "catalog_tables": sql(
+        f"""SELECT layer, "table", CAST(CASE "table"
+    WHEN 'user_behavior_detail' THEN (SELECT count(*) FROM detail)
+    WHEN 'daily_pv_uv' THEN (SELECT count(*) FROM daily) ELSE 0 END AS BIGINT) AS row_count
+FROM (VALUES {CATALOG}) AS t(layer, "table")""",
+        DAILY,
+    ),
+    "catalog_columns": sql(
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS col_name, '{kind}' AS data_type, {c == 'event_date'} AS is_partition,"
+            f" count({c}) AS filled FROM detail"
+            for c, kind in (
+                ("user_id", "bigint"),
+                ("item_id", "bigint"),
+                ("category_id", "bigint"),
+                ("behavior", "string"),
+                ("event_time", "string"),
+                ("event_hour", "int"),
+                ("day_of_week", "int"),
+                ("is_weekend", "int"),
+                ("event_date", "string"),
+            )
+        )
+        + ")"
+    ),
 }
 
 
@@ -455,7 +520,7 @@ def over_orders(events_sql: str) -> str:
     return base(RAW_ORDERS, ORDERS_START, ORDERS_END) + body.replace(END, ORDERS_END)
 
 
-ORACLE["stored_day_rerun"] = ORACLE["summary_hourly"] = ORACLE["dws_hourly"]
+ORACLE["stored_day_rerun"] = ORACLE["summary_hourly"] = ORACLE["catalog_round_trip"] = ORACLE["dws_hourly"]
 ORACLE["summary_hourly_distribution"] = ORACLE["hourly_distribution"]
 ORACLE["summary_heatmap"] = ORACLE["heatmap_hour_dow"]
 ORACLE["result_csv_reload"] = ORACLE["daily_pv_uv"]

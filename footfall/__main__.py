@@ -16,6 +16,9 @@ from footfall import streaming
 def _days(text: str) -> tuple[int, ...]:
     return tuple(int(day) for day in text.split(","))
 
+#: Rows of a numbered file if only the number of messages is limited.
+FILE_ROWS = 100_000
+
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="footfall", description=__doc__)
@@ -55,6 +58,10 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--once", action="store_true", help="work off what is there and stop")
         if name == "land":
             sub.add_argument("--out", required=True)
+            sub.add_argument("--file-rows", type=int, help="numbered files of so many rows at most")
+            sub.add_argument("--max-messages", type=int, help="stop after so many messages")
+        else:
+            sub.add_argument("--late", help="folder for the windows and the events too late for them")
     sub = step("send", help="send a raw CSV as messages")
     sub.add_argument("--servers", required=True)
     sub.add_argument("--topic", default=streaming.intake.TOPIC)
@@ -72,8 +79,15 @@ def _stream(args: argparse.Namespace) -> None:
     totals = streaming.RunTotals()
     spark.streams.addListener(totals)
     once = {"every": None} if args.once else {}
-    if args.step == "stream":
+    if args.step == "stream" and args.late:
+        query = streaming.start_with_late(events, args.late, args.checkpoint, **once)
+    elif args.step == "stream":
         query = streaming.start_windowed(streaming.windowed_pv_uv(events), args.checkpoint, **once)
+    elif args.file_rows or args.max_messages:
+        query, files = streaming.land_numbered(
+            events, args.out, args.checkpoint, args.file_rows or FILE_ROWS, args.max_messages, **once
+        )
+        streaming.finish_landing(query, files)
     else:
         query = streaming.land_batches(events, args.out, args.checkpoint, **once)
     streaming.run_until_interrupted(query)

@@ -35,6 +35,8 @@ PATH_SOURCE_PREFIX = "前序_"
 PATH_TARGET_PREFIX = "后续_"
 CATEGORY_PREFIX = "类目"
 ITEM_PREFIX = "商品"
+SCORE_WORD = "综合="
+BOUGHT_WORD = " / 购买="
 
 
 def relabel(code: Column, labels: Mapping[str, str]) -> Column:

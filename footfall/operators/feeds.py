@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from footfall.functions.labels import (
     BEHAVIOR_LABELS,
+    BOUGHT_WORD,
     CATEGORY_PREFIX,
     DAY_TYPE_LABELS,
     ITEM_PREFIX,
     PATH_SOURCE_PREFIX,
     PATH_TARGET_PREFIX,
+    SCORE_WORD,
     relabel,
 )
 from footfall.functions.measures import percent
@@ -159,9 +161,13 @@ def share_of_total(df: DataFrame, label: str, value: str, places: int = 2) -> Da
 
 
 def rfm_sample(rfm: DataFrame, n: int = 2000, seed: int = 42) -> DataFrame:
-    """A repeatable random sample of buyers with a point size; all buyers if there are fewer."""
+    """A repeatable random sample of buyers with a point size; all buyers if there are fewer.
+
+    The order is that of a hash of user and seed, so any system with MD5 draws the same sample.
+    """
+    drawn = F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":{seed}")))
     return (
-        rfm.orderBy(F.xxhash64(F.col("user_id"), F.lit(seed)), "user_id")
+        rfm.orderBy(drawn, "user_id")
         .limit(n)
         .select(
             "user_id",
@@ -201,9 +207,9 @@ def top_items_feed(items: DataFrame, n: int = 20) -> DataFrame:
                 F.lit("#"), F.col("ranking"), F.lit(f" {ITEM_PREFIX}"), F.col("item_id")
             ).alias("label"),
             F.concat(
-                F.lit("综合="),
+                F.lit(SCORE_WORD),
                 F.col("total_score").cast("bigint"),
-                F.lit(" / 购买="),
+                F.lit(BOUGHT_WORD),
                 F.col("buy_count"),
             ).alias("value_label"),
             "total_score",

@@ -9,6 +9,7 @@ also write and read back tables or streams below a scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ from footfall import sinks
 from footfall.functions import clock
 from footfall.operators import feeds
 from footfall.operators.cleaning import VALID_BEHAVIORS
-from footfall.schemas import EVENTS
+from footfall.schemas import EVENTS, RAW, TABLES
 from footfall.session import scratch_dir
-from footfall.sources import load_raw, read_layer, read_result_csv
+from footfall.sources import load_raw, read_layer, read_result_csv, split_rejects
 from footfall.sources.events import (
     event_behaviors,
     event_key_columns,
@@ -31,9 +32,15 @@ from footfall.sources.orders import orders_as_raw
 from footfall.streaming import (
     decode_messages,
     encode_messages,
+    file_messages,
+    finish_landing,
     land_batches,
+    land_numbered,
+    late_events,
     latest_windows,
+    read_numbered,
     start_versions,
+    start_with_late,
     windowed_pv_uv,
 )
 
@@ -205,6 +212,131 @@ def stream_batch_files(spark: SparkSession, folder: str) -> DataFrame:
     return load_raw(spark, f"{out}/files")
 
 
+def message_files(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    """The events as a stream of messages that come user group by user group, not in order of time."""
+    events = encode_messages(raw(spark, folder))
+    for group in range(3):
+        of_group = F.pmod(F.col("key").cast("bigint"), F.lit(3)) == group
+        events.filter(of_group).write.mode("append").json(f"{out}/messages")
+    return decode_messages(file_messages(spark, f"{out}/messages", max_files_per_trigger=1))
+
+
+def numbered_files(spark: SparkSession, folder: str, max_rows: int | None = None, runs: int = 1) -> str:
+    """Land the messages as numbered files of at most 300 rows, in one or more runs."""
+    out = scratch_dir(spark, "numbered")
+    events = message_files(spark, folder, out)
+    for _ in range(runs):
+        query, files = land_numbered(events, f"{out}/files", f"{out}/checkpoint", 300, max_rows, every=None)
+        finish_landing(query, files)
+    return f"{out}/files"
+
+
+def stream_numbered_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the numbered files."""
+    return read_numbered(spark, numbered_files(spark, folder)).drop("batch")
+
+
+def stream_file_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of each numbered file: all but the last are full, though messages come in batches."""
+    return op.rows_per(read_numbered(spark, numbered_files(spark, folder)), "batch")
+
+
+def stream_row_limit(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages landed under a limit that two runs share."""
+    landed = read_numbered(spark, numbered_files(spark, folder, max_rows=700, runs=2))
+    return landed.agg(F.count("*").alias("taken"))
+
+
+def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events counted in time and events kept as late, together, for each window and behaviour."""
+    out = scratch_dir(spark, "late")
+    query = start_with_late(
+        message_files(spark, folder, out), f"{out}/result", f"{out}/checkpoint", every=None
+    )
+    query.awaitTermination()
+    counted = latest_windows(spark, f"{out}/result/windows").select("window_start", "behavior", "count")
+    late = late_events(spark, f"{out}/result").select("window_start", "behavior", F.lit(1).alias("count"))
+    return (
+        counted.union(late)
+        .groupBy(F.unix_timestamp("window_start").alias("window_start_s"), "behavior")
+        .agg(F.sum("count").alias("events"))
+    )
+
+
+def broken_lines(spark: SparkSession, folder: str) -> str:
+    """The raw events as lines of text, four of ten of them broken in one of four ways."""
+    path = scratch_dir(spark, "lines") + "/events"
+    field = lambda c: F.col(c).cast("string")
+    line = lambda *columns: F.concat_ws(",", *columns)
+    user, item, category, behavior, time = map(field, RAW.names)
+    kind = F.pmod(F.col("user_id") + F.col("timestamp"), F.lit(10))
+    raw(spark, folder).select(
+        F.when(kind == 0, line(user, item, category, behavior))
+        .when(kind == 1, line(user, item, category, behavior, time, F.lit("x")))
+        .when(kind == 2, line(user, F.lit("n/a"), category, behavior, time))
+        .when(kind == 3, line(F.concat(F.lit("u"), user), item, category, behavior, F.lit("soon")))
+        .otherwise(line(user, item, category, behavior, time))
+    ).write.text(path)
+    return path
+
+
+def catalog_warehouse(spark: SparkSession, folder: str) -> str:
+    """A warehouse in the session catalog; returns the prefix of its databases.
+
+    The tables are created empty and typed; the detail is inserted by day, one day of it twice.
+    """
+    root = scratch_dir(spark, "catalog")
+    prefix = f"w{root.rsplit('-', 1)[1][:12]}_"
+    sinks.create_databases(spark, prefix, root)
+    for name in TABLES:
+        sinks.create_table(spark, name, prefix=prefix)
+    name, cleaned = "dwd.user_behavior_detail", detail(spark, folder)
+    sinks.save(cleaned, name, replace_days_only=True, prefix=prefix)
+    one_day = op.clean(raw(spark, folder), "2024-01-10", "2024-01-10")
+    sinks.save(one_day, name, replace_days_only=True, prefix=prefix)
+    stored = read_layer(spark, name, prefix=prefix)
+    sinks.save(op.daily_pv_uv(stored), "ads.daily_pv_uv", prefix=prefix)
+    return prefix
+
+
+def catalog_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours per day of the detail that was inserted into the catalog by day."""
+    prefix = catalog_warehouse(spark, folder)
+    return op.hourly_summary(read_layer(spark, "dwd.user_behavior_detail", prefix=prefix))
+
+
+def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The catalog's tables with the rows they hold."""
+    prefix = catalog_warehouse(spark, folder)
+    counts = [
+        spark.table(f"{prefix}{name}").select(F.lit(name).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+        for name in TABLES
+    ]
+    held = reduce(DataFrame.union, counts)
+    listed = sinks.list_tables(spark, prefix).withColumn("name", F.concat_ws(".", "layer", "table"))
+    return listed.join(held, "name", "left").select(
+        "layer", "table", F.coalesce("n", F.lit(0)).cast("bigint").alias("row_count")
+    )
+
+
+def catalog_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The detail's columns in the catalog, with the number of values that each holds."""
+    name = catalog_warehouse(spark, folder) + "dwd.user_behavior_detail"
+    table = spark.table(name)
+    filled = table.select(*(F.count(c).alias(c) for c in table.columns)).unpivot(
+        [], table.columns, "col_name", "filled"
+    )
+    return sinks.describe(spark, name).join(filled, "col_name")
+
+
+def result_csv_head(spark: SparkSession, folder: str) -> DataFrame:
+    """Export the first rows of a long result as one CSV file and load it again."""
+    path = scratch_dir(spark, "results") + "/user_rfm"
+    result = rfm(detail(spark, folder))
+    sinks.export_csv(result, path, head=20, order=("user_id",), single_file=True)
+    return read_result_csv(spark, path, "ads.user_rfm")
+
+
 def rfm(d: DataFrame) -> DataFrame:
     return op.user_rfm(d, END)
 
@@ -307,6 +439,7 @@ QUERIES: dict[str, Query] = {
         lambda d: feeds.share_of_total(op.top_categories(d, 15), "category_id", "pv_count")
     ),
     "rfm_sample": over_detail(lambda d: feeds.rfm_sample(rfm(d))),
+    "rfm_sample_cut": over_detail(lambda d: feeds.rfm_sample(rfm(d), n=7)),
     "category_conversion_feed": over_detail(
         lambda d: feeds.category_conversion_feed(op.top_categories(d))
     ),
@@ -320,6 +453,12 @@ QUERIES: dict[str, Query] = {
     "stored_partition_scan": stored_partition_scan,
     "stored_day_rerun": stored_day_rerun,
     "ods_csv_load": ods_csv_load,
+    "ods_rejects": lambda spark, folder: split_rejects(spark, broken_lines(spark, folder))[1],
+    "ods_accepted": lambda spark, folder: split_rejects(spark, broken_lines(spark, folder))[0],
+    "catalog_round_trip": catalog_round_trip,
+    "catalog_tables": catalog_tables,
+    "catalog_columns": catalog_columns,
+    "result_csv_head": result_csv_head,
     "result_csv_reload": result_csv_reload,
     "keyed_json_messages": over_raw(encode_messages),
     "decoded_messages": over_raw(
@@ -328,4 +467,8 @@ QUERIES: dict[str, Query] = {
     "stream_pv_uv": stream_pv_uv,
     "stream_uv_tolerance": stream_uv_tolerance,
     "stream_batch_files": stream_batch_files,
+    "stream_numbered_files": stream_numbered_files,
+    "stream_file_sizes": stream_file_sizes,
+    "stream_row_limit": stream_row_limit,
+    "stream_late_events": stream_late_events,
 }

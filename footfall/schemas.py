@@ -46,6 +46,11 @@ WINDOWED = columns(
     count=LONG,
     unique_users=LONG,
 )
+LATE = columns(
+    window_start=TimestampType(),
+    window_end=TimestampType(),
+    **{field.name: field.dataType for field in RAW},
+)
 EVENTS = columns(
     event_id=LONG, ts=TimestampNTZType(), user_id=LONG, event_type=TEXT, value=REAL, props=TEXT
 )
@@ -129,11 +134,11 @@ def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     return df.to(TABLES[schema] if isinstance(schema, str) else schema)
 
 
-def create_table_ddl(name: str) -> str:
-    """``CREATE TABLE`` text for a registered table."""
+def create_table_ddl(name: str, prefix: str = "") -> str:
+    """``CREATE TABLE`` text for a registered table; ``prefix`` goes before its database."""
     body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name])
     parts = PARTITIONED_BY.get(name)
     clause = " OPTIONS (compression 'snappy', partitionOverwriteMode 'dynamic')"
     if parts:
         clause += f" PARTITIONED BY ({', '.join(parts)})"
-    return f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{clause}"
+    return f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({body}) USING parquet{clause}"

@@ -10,17 +10,22 @@ from footfall.schemas import LAYERS, PARTITIONED_BY, conform, create_table_ddl
 from footfall.sources.files import table_path
 
 
-def create_databases(spark: SparkSession) -> None:
+def create_databases(spark: SparkSession, prefix: str = "", root: str | None = None) -> None:
+    """A database per layer, in the catalog's warehouse or below the folder ``root``.
+
+    ``prefix`` goes before the layers' names, so that several warehouses fit in one catalog.
+    """
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        at = f" LOCATION '{root.rstrip('/')}/{layer}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}{at}")
 
 
-def create_table(spark: SparkSession, name: str, replace: bool = True) -> None:
+def create_table(spark: SparkSession, name: str, replace: bool = True, prefix: str = "") -> None:
     """Create a registered table, empty and typed; drops an existing one if ``replace``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{name.split('.')[0]}")
     if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(create_table_ddl(name))
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+    spark.sql(create_table_ddl(name, prefix))
 
 
 def save(
@@ -29,6 +34,7 @@ def save(
     root: str | None = None,
     replace_days_only: bool = False,
     schema: StructType | None = None,
+    prefix: str = "",
 ) -> None:
     """Overwrite a registered table with ``df``, cast to the table's types (or to ``schema``).
 
@@ -42,9 +48,10 @@ def save(
     if parts:
         rows = rows.hint("rebalance", *(F.col(p) for p in parts))
     spark = df.sparkSession
-    if root is None and replace_days_only and spark.catalog.tableExists(name):
+    table = prefix + name
+    if root is None and replace_days_only and spark.catalog.tableExists(table):
         # an insert takes the overwrite mode from the table, where it was set on creation
-        rows.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
         return
     dynamic = root is None or replace_days_only
     writer = (
@@ -56,19 +63,19 @@ def save(
     if parts:
         writer = writer.partitionBy(*parts)
     if root is None:
-        writer.saveAsTable(name)
+        writer.saveAsTable(table)
     else:
         writer.save(table_path(root, name))
 
 
-def list_tables(spark: SparkSession) -> DataFrame:
+def list_tables(spark: SparkSession, prefix: str = "") -> DataFrame:
     """The tables of all layers that exist: layer, table."""
     present = {d.name for d in spark.catalog.listDatabases()}
     rows = [
         (layer, table.name)
         for layer in LAYERS
-        if layer in present
-        for table in spark.catalog.listTables(layer)
+        if prefix + layer in present
+        for table in spark.catalog.listTables(prefix + layer)
         if not table.isTemporary
     ]
     return spark.createDataFrame(rows, "layer string, table string")

@@ -51,11 +51,23 @@ def load_raw(spark: SparkSession, path: str, drop_malformed: bool = False) -> Da
 
 
 def split_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The well-formed rows, and the text of the lines that are not."""
+    """The well-formed rows, and (rejected_line, reason) of the lines that are not.
+
+    The reason is ``fields`` for a line of more or fewer than five fields, else the names of the
+    fields that are not of their type.
+    """
     lines = _text_rows(spark, path)
     fields = F.concat_ws(",", *(F.coalesce(F.col(c), F.lit("")) for c in RAW.names))
+    unreadable = F.concat_ws(
+        ",",
+        *(
+            F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), f.name)
+            for f in RAW
+        ),
+    )
     rejected = lines.filter(~_well_formed()).select(
-        F.coalesce(F.col(REJECTED), fields).alias(REJECTED)
+        F.coalesce(F.col(REJECTED), fields).alias(REJECTED),
+        F.when(F.col(REJECTED).isNotNull(), "fields").otherwise(unreadable).alias("reason"),
     )
     return lines.filter(_well_formed()).select(*_typed()), rejected
 
@@ -71,6 +83,7 @@ def read_layer(
     start: str | None = None,
     end: str | None = None,
     schema: StructType | None = None,
+    prefix: str = "",
 ) -> DataFrame:
     """A stored table: from the catalog, or from the warehouse folder ``root``.
 
@@ -79,7 +92,7 @@ def read_layer(
     """
     schema = schema or TABLES[name]
     if root is None:
-        df = spark.table(name).select(*schema.names)
+        df = spark.table(prefix + name).select(*schema.names)
     else:
         df = spark.read.schema(schema).parquet(table_path(root, name))
     return in_date_range(df, start, end) if "event_date" in PARTITIONED_BY.get(name, ()) else df

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from footfall.schemas import WINDOWED, conform
+from footfall.schemas import LATE, RAW, WINDOWED, conform
 
 
 def windowed(
@@ -92,6 +92,52 @@ def latest_windows(
     return last.select(*keys, "last.*")
 
 
+def start_with_late(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str = "30 seconds",
+    slide: str = "10 seconds",
+    watermark: str = "30 seconds",
+    every: str | None = "10 seconds",
+    name: str | None = None,
+) -> StreamingQuery:
+    """The windowed counts of a stream, and beside them the events that came too late for a window.
+
+    One query emits both: the windows that a micro-batch has changed, and the batch's events once
+    per window they belong to. An event whose window was not changed by its own batch has been
+    dropped by the watermark; it is kept, under that window. So nothing has to be known about the
+    watermark, and what is counted and what is late always add up to what has come. Each batch
+    has folders of its own that a repeated batch writes again. :func:`latest_windows` reads the
+    counts from ``<path>/windows``, :func:`late_events` the others.
+    """
+    span = F.window("event_time", window, slide)
+    came = events.withWatermark("event_time", watermark).select(*RAW.names, span.alias("span"))
+    came = came.select(
+        F.col("span.start").alias("window_start"),
+        F.col("span.end").alias("window_end"),
+        *RAW.names,
+    ).filter(F.col("window_start").isNotNull())
+    both = windowed_pv_uv(events, window, slide, watermark).unionByName(came, allowMissingColumns=True)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # both parts of one run of the stateful plan
+        changed = batch.filter(F.col("count").isNotNull())
+        changed.select(*WINDOWED.names).write.mode("overwrite").parquet(f"{path}/windows/batch={number}")
+        keys = changed.select("window_start", F.col("behavior").alias("counted"))
+        same = [batch["window_start"] == keys["window_start"], batch["behavior"].eqNullSafe(keys["counted"])]
+        late = batch.filter(F.col("count").isNull()).join(keys, same, "left_anti")
+        late.select(*LATE.names).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+        batch.unpersist()
+
+    return _start(both.writeStream.outputMode("update").foreachBatch(write), checkpoint, every, name)
+
+
+def late_events(spark: SparkSession, path: str) -> DataFrame:
+    """The late events that :func:`start_with_late` has kept, once per window that lacks them."""
+    return spark.read.schema(LATE).parquet(f"{path}/late")
+
+
 def _start(writer, checkpoint: str, every: str | None, name: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     if name:

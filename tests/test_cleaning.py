@@ -35,18 +35,18 @@ def test_first_and_last_second_of_the_range(raw_of):
 
 
 def test_time_zone_moves_the_day(raw_of):
-    raw = raw_of((1, 2268318, 2520377, "pv", 1511544070))
+    raw = raw_of((1, 77, 7, "pv", 1511548205))
     assert rows(op.clean(raw, "2017-11-24", "2017-11-24"))[0][4:] == (
-        "2017-11-24 17:21:10", 17, 6, 0, "2017-11-24",
+        "2017-11-24 18:30:05", 18, 6, 0, "2017-11-24",
     )
     local = op.clean(raw, "2017-11-25", "2017-11-25", tz="Asia/Shanghai")
-    assert rows(local)[0][4:] == ("2017-11-25 01:21:10", 1, 7, 1, "2017-11-25")
+    assert rows(local)[0][4:] == ("2017-11-25 02:30:05", 2, 7, 1, "2017-11-25")
     assert op.clean(raw, "2017-11-24", "2017-11-24", tz="Asia/Shanghai").count() == 0
 
 
 def test_result_does_not_depend_on_the_session_zone(spark, raw_of):
     raw = raw_of(
-        (1, 1, 1, "pv", 1511544070),
+        (1, 1, 1, "pv", 1511548205),
         (1, 1, 1, "pv", epoch("2024-11-03T05:30:00")),
         (1, 1, 1, "pv", epoch("2024-11-03T06:30:00")),
     )

@@ -44,7 +44,9 @@ def test_malformed_lines(spark, tmp_path):
     assert strict.groupBy("behavior").count().collect()[0][1] == 2
     good, rejected = split_rejects(spark, str(path))
     assert good.count() == 2
-    assert sorted(r[0] for r in rows(rejected)) == ["1,2,3,pv", "1,2,3,pv,4,5", "x,2,3,pv,4"]
+    assert sorted(rows(rejected)) == [
+        ("1,2,3,pv", "fields"), ("1,2,3,pv,4,5", "fields"), ("x,2,3,pv,4", "user_id"),
+    ]
 
 
 def test_whole_build_in_folders(spark, csv, tmp_path):

@@ -1,4 +1,7 @@
 import json
+import time
+from collections import Counter
+from importlib import import_module
 
 import pytest
 from conftest import epoch, rows
@@ -228,3 +231,213 @@ def test_totals_cover_more_batches_than_spark_remembers(spark, feed, tmp_path):
     finally:
         spark.streams.removeListener(totals)
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def numbered(spark, feed, tmp_path, file_rows, max_rows=None, every=None):
+    source = streaming.file_messages(spark, feed.folder, max_files_per_trigger=1)
+    return streaming.land_numbered(
+        streaming.decode_messages(source),
+        str(tmp_path / "numbered"),
+        str(tmp_path / "numbered-checkpoint"),
+        file_rows,
+        max_rows,
+        every,
+    )
+
+
+def landed(spark, tmp_path):
+    df = streaming.read_numbered(spark, str(tmp_path / "numbered"))
+    files = sorted(tuple(r) for r in df.groupBy("batch").count().collect())
+    return files, sorted(rows(df.drop("batch")))
+
+
+def test_numbered_files_carry_an_open_rest_between_batches(spark, feed, tmp_path):
+    events = [event(u, "pv", u) for u in range(23)]
+    for lo, hi in ((0, 3), (3, 4), (4, 15), (15, 23)):
+        feed(*events[lo:hi])
+    streaming.finish_landing(*numbered(spark, feed, tmp_path, 5))
+    assert landed(spark, tmp_path) == ([(1, 5), (2, 5), (3, 5), (4, 5), (5, 3)], sorted(events))
+    for n in range(1, 6):
+        parts = list((tmp_path / "numbered" / f"batch={n}").glob("part-*.csv"))
+        assert len(parts) == 1 and len(parts[0].read_text().splitlines()) <= 5
+    # a flushed file stays as it is; later rows go to new files
+    more = [event(u, "buy", u) for u in range(7)]
+    feed(*more)
+    streaming.finish_landing(*numbered(spark, feed, tmp_path, 5))
+    files, got = landed(spark, tmp_path)
+    assert files[4:] == [(5, 3), (6, 5), (7, 2)] and got == sorted(events + more)
+    streaming.finish_landing(*numbered(spark, feed, tmp_path, 5))
+    assert landed(spark, tmp_path) == (files, got)
+
+
+def test_a_repeated_batch_writes_the_same_files(spark, raw_of, tmp_path):
+    from footfall.streaming import NumberedFiles
+
+    writer = NumberedFiles(str(tmp_path / "numbered"), str(tmp_path / "numbered-checkpoint"), 4)
+    batches = [raw_of(*(event(u, b, u) for u in range(n))) for b, n in (("pv", 6), ("fav", 1), ("buy", 9))]
+    for number, batch in enumerate(batches):
+        writer.write(batch, number)
+        writer.write(batch, number)
+    writer.write(batches[1], 1)  # as if the query came back to an older batch after a failure
+    writer.write(batches[2], 2)
+    writer.flush(spark)
+    writer.flush(spark)
+    files, got = landed(spark, tmp_path)
+    assert [n for _, n in files] == [4, 4, 4, 4]
+    assert got == sorted(sum((rows(b) for b in batches), []))
+
+
+@pytest.mark.parametrize("every", [None, "200 milliseconds"])
+def test_row_limit_holds_over_restarts(spark, feed, tmp_path, every):
+    for k in range(4):
+        feed(*(event(u, "pv", 10 * k + u) for u in range(10)))
+    for _ in range(3):
+        query, files = numbered(spark, feed, tmp_path, 8, 25, every)
+        streaming.finish_landing(query, files)
+        assert not query.isActive and files.full
+        sizes, got = landed(spark, tmp_path)
+        assert [n for _, n in sizes] == [8, 8, 8, 1] and len(set(got)) == 25
+    # a higher limit goes on where the first one ended: the batch that was left unread
+    streaming.finish_landing(*numbered(spark, feed, tmp_path, 8, 1000))
+    assert len(landed(spark, tmp_path)[1]) == 35
+
+
+def test_writer_errors_are_not_taken_for_the_limit(spark, feed, tmp_path):
+    feed(event(1, "pv", 0))
+    (tmp_path / "elsewhere").write_text("a file where a folder is needed")
+    broken, files = streaming.land_numbered(
+        streaming.decode_messages(streaming.file_messages(spark, feed.folder)),
+        str(tmp_path / "elsewhere" / "below"),
+        str(tmp_path / "another-checkpoint"),
+        1,
+        every=None,
+    )
+    with pytest.raises(PySparkException):
+        streaming.finish_landing(broken, files)
+
+
+def test_late_events_are_kept_and_add_up(spark, feed, tmp_path):
+    out = str(tmp_path / "result")
+    batches = [
+        [event(1, "pv", 0), event(2, "buy", 4)],
+        [event(1, "pv", 200)],
+        [event(1, "fav", 201), event(3, "pv", 199)],
+        [event(2, "pv", 185), event(2, "pv", 3), event(4, "buy", 166), event(4, "buy", 166)],
+    ]
+    for batch in batches[:3]:
+        feed(*batch)
+
+    def run_once():
+        events = streaming.decode_messages(streaming.file_messages(spark, feed.folder, max_files_per_trigger=1))
+        query = streaming.start_with_late(events, out, str(tmp_path / "late-checkpoint"), every=None)
+        query.awaitTermination()
+        return query
+
+    run_once()
+    feed(*batches[3], values=["not json"])
+    query = run_once()  # restarted
+    late = streaming.late_events(spark, out)
+    assert late.count() == streaming.progress_totals(query)["rows_dropped_late"] + 1  # equal rows merge first
+    found = Counter((int(r.window_start.timestamp()) - T0, r.behavior) for r in late.collect())
+    assert found[(0, "pv")] == found[(-10, "pv")] == found[(-20, "pv")] == 1 and found[(140, "buy")] == 2
+    assert (180, "pv") not in found
+    for r in streaming.latest_windows(spark, f"{out}/windows").collect():
+        found[int(r.window_start.timestamp()) - T0, r.behavior] += r["count"]
+    assert found == {k: n for k, (n, _) in batch_answers(spark, *sum(batches, [])).items()}
+
+
+def wait_for(condition, seconds=60):
+    end = time.time() + seconds
+    while not condition():
+        assert time.time() < end
+        time.sleep(0.2)
+
+
+def test_live_run_is_fed_stopped_and_restarted(spark, feed, tmp_path):
+    """A running query under a processing-time trigger; files arrive while it runs."""
+    batches = [[event(u, "pv", 15 * i + u) for u in range(5)] for i in range(6)]
+    out, checkpoint = str(tmp_path / "versions"), str(tmp_path / "live-checkpoint")
+
+    def start():
+        events = streaming.decode_messages(streaming.file_messages(spark, feed.folder, max_files_per_trigger=1))
+        return streaming.start_versions(
+            streaming.windowed_pv_uv(events), out, checkpoint, every="300 milliseconds"
+        )
+
+    read = lambda query: streaming.progress_totals(query)["rows_read"]
+    feed(*batches[0])
+    query = start()
+    for k, batch in enumerate(batches[1:3], start=2):
+        feed(*batch)
+        wait_for(lambda: read(query) == 5 * k)
+    streaming.stop_after_backlog(query)
+    assert not query.isActive and query.exception() is None
+    feed(*batches[3])  # arrives while nothing runs
+    query = start()
+    wait_for(lambda: read(query) == 5)
+    for batch in batches[4:]:
+        feed(*batch)
+    streaming.stop_after_backlog(query)
+    got = {
+        (int(r.window_start.timestamp()) - T0, r.behavior): (r["count"], r.unique_users)
+        for r in streaming.latest_windows(spark, out).collect()
+    }
+    assert got == batch_answers(spark, *sum(batches, []))
+
+
+def test_console_sink_prints_windows(spark, feed, tmp_path, capfd):
+    feed(event(1, "pv", 0))
+    events = streaming.decode_messages(streaming.file_messages(spark, feed.folder))
+    query = streaming.start_windowed(
+        streaming.windowed_pv_uv(events), str(tmp_path / "console"), every="200 milliseconds", truncate="false"
+    )
+    streaming.stop_after_backlog(query)
+    printed = []  # by the JVM, whose output may come a little later
+    wait_for(lambda: printed.append(capfd.readouterr().out) or "unique_users" in "".join(printed))
+    assert "Batch: 0" in "".join(printed)
+
+
+def test_interrupt_stops_the_query(spark, feed, tmp_path, monkeypatch):
+    feed(event(1, "pv", 0))
+    query, files = numbered(spark, feed, tmp_path, 8, every="200 milliseconds")
+    query.processAllAvailable()
+
+    class Interrupted:
+        status, stop = query.status, query.stop
+
+        def awaitTermination(self, seconds=None):
+            raise KeyboardInterrupt
+
+    streaming.finish_landing(Interrupted(), files)
+    assert not query.isActive
+    assert landed(spark, tmp_path) == ([(1, 1)], [event(1, "pv", 0)])
+
+
+def test_streaming_session_settings(monkeypatch):
+    module = import_module("footfall.session")
+    got = {}
+
+    class Builder:
+        def appName(self, name):
+            got["name"] = name
+            return self
+
+        def config(self, key, value):
+            got[key] = value
+            return self
+
+        def master(self, master):
+            got["master"] = master
+            return self
+
+        def getOrCreate(self):
+            return got
+
+    monkeypatch.setattr(module, "SparkSession", type("S", (), {"builder": Builder()}))
+    module.streaming_session()
+    assert got["spark.sql.adaptive.enabled"] == "false" and got["spark.sql.shuffle.partitions"] == "4"
+    assert "master" not in got
+    module.session("batch", "local[2]", 16, settings={"spark.ui.enabled": "false"})
+    assert got["spark.sql.adaptive.enabled"] == "true" and got["spark.sql.shuffle.partitions"] == "16"
+    assert got["spark.sql.parquet.compression.codec"] == "snappy" and got["master"] == "local[2]"
+    assert got["spark.sql.sources.partitionOverwriteMode"] == "dynamic" and got["spark.ui.enabled"] == "false"
