@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+from functools import wraps
 from pathlib import Path
 from typing import NamedTuple
 
@@ -29,6 +31,30 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _free() -> None:
+    """Give the memory that a task has used back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tidy(run):
+    """``run``, a function for ``mapInArrow``, that frees its memory when the task ends.
+
+    Python workers live on for later tasks and stages; what they hold adds up on an executor.
+    """
+
+    @wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _free()
+
+    return tidied
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of ended jobs, which it does on garbage collection."""
     gc.collect()
@@ -168,9 +194,10 @@ def n_chunks(docs: DataFrame, text: str, chunk_bytes: int) -> int:
     return max(1, -(-total // chunk_bytes))
 
 
-def in_chunks(docs: DataFrame, key: str, n: int) -> DataFrame:
-    """Adds ``chunk``: documents dealt evenly by a hash of ``key``."""
-    return docs.withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), key), F.lit(n)))
+def in_chunks(docs: DataFrame, key: str | list[str], n: int) -> DataFrame:
+    """Adds ``chunk``: documents dealt evenly by a hash of ``key``, one column or several."""
+    keys = [key] if isinstance(key, str) else key
+    return docs.withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), *keys), F.lit(n)))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -178,8 +205,9 @@ def in_chunks(docs: DataFrame, key: str, n: int) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 
 
-#: Edges that a task contracts at a time.
+#: Edges that a task contracts at a time, and tasks whose stars are contracted together.
 _EDGES = 1 << 20
+_FAN_IN = 16
 
 
 def _forest(batches):
@@ -211,30 +239,48 @@ def _forest(batches):
         yield contract(run)
 
 
+def _contracted(edges: DataFrame, label: str) -> DataFrame:
+    """Stars with the same components, by contraction in a tree.
+
+    Tasks contract what they read. Then the stars of up to ``_FAN_IN`` tasks are contracted
+    together, and so on, while a task gets at most ``_EDGES`` edges: copies of one group that many
+    tasks have seen become one star before any row of them is shuffled.
+    """
+    current = stored(edges.select("a", "b").mapInArrow(_forest, "a long, b long"), label)
+    tasks = current.rdd.getNumPartitions()
+    while tasks > 1:
+        fewer = max(-(-tasks // _FAN_IN), -(-current.count() // _EDGES))
+        if fewer > tasks // 2:
+            break
+        current = stored(current.coalesce(fewer).mapInArrow(_forest, "a long, b long"), label)
+        tasks = fewer
+    return current
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b); component is the smallest id reachable.
 
-    Tasks first contract the edges they read to stars. Then, round by round, every id and all its
-    neighbours go to the smallest of them, which keeps the components and shrinks the graph to
-    stars in few rounds. Each round is written, so lineage stays short; a row of the graph is two
-    longs, and minima are pre-aggregated. It ends when no id has two tops and no top has one of
-    its own.
+    The edges are first contracted to stars in a tree of tasks. Where more stars are left than a
+    task may get, every id and all its neighbours go to the smallest of them, round by round, which
+    keeps the components and shrinks the graph to stars in few rounds. Each round is written, so
+    lineage stays short; a row of the graph is two longs, and minima are pre-aggregated. It ends
+    when no id has two tops and no top has one of its own.
     """
 
     def gather(pairs: DataFrame) -> DataFrame:
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        moved = both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        return moved.where("a != b").distinct()
+        moved = both.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        own = least.select("a", F.col("m").alias("b"))
+        return moved.union(own).where("a != b").distinct()
 
     def stars(pairs: DataFrame) -> bool:
-        roles = pairs.select(F.inline(F.array(
-            F.struct(F.col("a").alias("id"), F.lit(1).alias("low")), F.struct(F.col("b").alias("id"), F.lit(0).alias("low"))
-        )))
+        tops = pairs.select(F.col("b").alias("id"), F.lit(0).alias("low"))
+        roles = pairs.select(F.col("a").alias("id"), F.lit(1).alias("low")).union(tops)
         roles = roles.groupBy("id").agg(F.sum("low").alias("lows"), F.max(1 - F.col("low")).alias("tops"))
-        return roles.where("lows > 0 and lows + tops > 1").count() == 0
+        return roles.where("lows > 0 and lows + tops > 1").isEmpty()
 
-    current = stored(edges.select("a", "b").mapInArrow(_forest, "a long, b long"), label)
+    current = _contracted(edges, label)
     while not stars(current):
         current = stored(gather(current), label)
     tops = current.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))

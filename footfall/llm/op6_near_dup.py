@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import Words, _forest, components, mix, stored, windows, words_of
+from footfall.llm.common import Words, _forest, components, mix, stored, tidy, windows, words_of
 
 BUCKETS_LOG2 = 9
 BUCKETS = 1 << BUCKETS_LOG2
@@ -250,7 +250,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame | None:
         return None
     wanted = spark.sparkContext.broadcast(bits)
     texts = docs.where("doc_id is not null").select("doc_id", "text")
-    return texts.mapInArrow(_full_sets(width, wanted), "doc_id long, set binary")
+    return texts.mapInArrow(tidy(_full_sets(width, wanted)), "doc_id long, set binary")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -259,7 +259,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int, threshold: float) ->
     if sets is None:
         return pairs.select("a", "b").limit(0)
     both = _with(pairs.select("a", "b"), sets, ["set"])
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(_compare(threshold), "a long, b long").distinct()
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(tidy(_compare(threshold)), "a long, b long").distinct()
 
 
 def _pack_block(group: pa.Table) -> pa.Table:
@@ -333,7 +333,7 @@ def _unconnected(
         for e, d in (("a", few), ("b", every))
     ]
     return (
-        ends[0].join(ends[1], "family").drop("family").mapInArrow(_block_pairs(threshold), _PAIRS + ", sure boolean")
+        ends[0].join(ends[1], "family").drop("family").mapInArrow(tidy(_block_pairs(threshold)), _PAIRS + ", sure boolean")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate", "error", "sure").distinct()
     )
 
@@ -396,25 +396,25 @@ def _refused_ties(starred: DataFrame, judged: DataFrame, sketched: DataFrame, th
     other = several.select("band", F.col("block").alias("block_b"), F.col("own").alias("other"))
     across = several.join(other, "band").where("block < block_b").select("own", "other")
     every = blocks.select("own", F.lit(None).cast(_MEMBERS).alias("other")).union(across)
-    return every.mapInArrow(_block_ties(threshold), "a long, b long").distinct()
+    return every.mapInArrow(tidy(_block_ties(threshold)), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = stored(docs.mapInArrow(_sketch(width), _SKETCHED), "sketches")
+    every = stored(docs.mapInArrow(tidy(_sketch(width)), _SKETCHED), "sketches")
     same = ["key1", "key2", "n_shingles"]
     usable = every.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy(*same).agg(F.min("doc_id").alias("doc_id"))
     first = stored(usable.join(classes, ["doc_id", *same], "left_semi").dropDuplicates(["doc_id", *same]), "classes")
 
-    banded = first.select("doc_id", "sketch").mapInArrow(_bands, "band long, id long")
+    banded = first.select("doc_id", "sketch").mapInArrow(tidy(_bands), "band long, id long")
     least = banded.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     starred = stored(banded.join(least, "band").where("id != a"), "starred")
     stars = starred.select("a", F.col("id").alias("b")).distinct()
     judged = stored(
         _with(stars, first.withColumnRenamed("n_shingles", "n"), ["n", "sketch"])
-        .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_estimates(threshold), _PAIRS),
+        .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(tidy(_estimates(threshold)), _PAIRS),
         "judged",
     )
     pairs = judged.where((F.col("estimate") >= LOOSE) | _is_maybe(threshold))
