@@ -16,6 +16,7 @@ rest). Rows are handled one by one, repeated rows stay, other columns are ignore
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -40,6 +41,11 @@ HINTS = frozenset(
     "pagination popup promo promotion related replies reply share sharing sidebar social sponsor sponsored "
     "subscribe toolbar widget".split()
 )
+PLAIN = frozenset("notice notices promotion related replies reply share sharing social".split())
+PARTS = frozenset(
+    "area articles bar block box button buttons card cards container content icons inner items links list "
+    "panel post posts section stories wrapper".split()
+)
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 SIGMA = 1.0
 
@@ -54,6 +60,7 @@ class Lines(HTMLParser):
         self.regions = 0
         self.count = 0
         self.marked = False
+        self.at: defaultdict[str, list[int]] = defaultdict(list)  # places of a tag among the open ones
         self.break_line()
 
     def break_line(self):
@@ -62,12 +69,21 @@ class Lines(HTMLParser):
         self.line = [[], 0, region, excluded]
         self.lines.append(self.line)
 
+    def close_last(self):
+        self.at[self.open.pop()[0]].pop()
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # a section of a kind that the parser doesn't know: a comment up to its end
+            return self.parse_bogus_comment(i)
+
     def handle_starttag(self, tag, attrs):
         if tag == "body" or tag in REGIONS or tag == "footer":  # an unclosed head, menu or paragraph ends here
             while self.open and self.open[-1][0] in ("head", "nav", "p", "span", "ul", "ol", "li", "title"):
-                self.open.pop()
+                self.close_last()
         elif tag == "p" and self.open and self.open[-1][0] == "p":
-            self.open.pop()
+            self.close_last()
         if tag in TRACKED and tag not in VOID:
             _, region, excluded = self.open[-1] if self.open else ("", 0, False)
             if not excluded:
@@ -77,6 +93,7 @@ class Lines(HTMLParser):
                     self.regions += 1
                     region = self.regions
                 self.marked = True
+            self.at[tag].append(len(self.open))
             self.open.append((tag, region, excluded))
         if tag in BLOCKS or tag in TRACKED and self.open[-1][2] != self.line[3]:
             self.break_line()
@@ -84,15 +101,17 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         if tag in TRACKED:
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] == tag:
-                    was = self.open[-1]
-                    del self.open[k:]
-                    if tag in BLOCKS or (self.open[-1][2] if self.open else False) != was[2]:
-                        self.break_line()
-                    return
-                if self.open[k][0] in REGIONS and tag not in REGIONS and tag != "body":
-                    return  # a stray end tag doesn't end an article
+            last = lambda name: self.at[name][-1] if self.at[name] else -1
+            place = last(tag)
+            if tag not in REGIONS and tag != "body" and max(map(last, REGIONS)) > place:
+                return  # a stray end tag doesn't end an article
+            if place >= 0:
+                was = self.open[-1]
+                while len(self.open) > place:
+                    self.close_last()
+                if tag in BLOCKS or (self.open[-1][2] if self.open else False) != was[2]:
+                    self.break_line()
+                return
         if tag in BLOCKS:
             self.break_line()
 
@@ -106,11 +125,17 @@ class Lines(HTMLParser):
 
 
 def hinted(attrs) -> bool:
-    """Whether class, id or role name a part that isn't main text."""
+    """Whether class, id or role name a part that isn't main text.
+
+    A word with a plain meaning of its own (a share price, a related work) has to stand alone, or
+    with words for parts of a page.
+    """
     for name, value in attrs:
         if name in ("class", "id") and value:
-            if not HINTS.isdisjoint(re.split(r"[^a-z]+", value.lower())):
-                return True
+            for label in value.lower().split():
+                words = {w for w in re.split(r"[^a-z]+", label) if w}
+                if words & HINTS - PLAIN or words & PLAIN and words <= HINTS | PARTS:
+                    return True
         elif name == "role" and value and value.strip().lower() in ROLES or name == "hidden":
             return True
     return False
