@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from functools import wraps
+from inspect import signature
 from pathlib import Path
 from typing import NamedTuple
 
@@ -24,21 +25,53 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Spark's setting that drops shuffle files at the end of an execution.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` below the shared folder and read it back."""
-    path = scratch_dir(df.sparkSession, label) + "/table"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut the lineage: write ``df`` below the shared folder and read it back.
+
+    The shuffle files of the write go with its end, for nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label) + "/table"
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _free() -> None:
     """Give the memory that a task has used back to the system."""
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
     gc.collect()
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
 
 
+def tidy_group(run):
+    """The same for a function of whole groups, or of pairs of them: memory goes back after each."""
+
+    def one(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            _free()
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(left, right)
+        finally:
+            _free()
+
+    return one if len(signature(run).parameters) == 1 else two  # Spark counts the parameters
+
+
 def tidy(run):
     """``run``, a function for ``mapInArrow``, that frees its memory when the task ends.
 
@@ -55,12 +88,6 @@ def tidy(run):
     return tidied
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of ended jobs, which it does on garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 # ---------------------------------------------------------------------------------------------
 # words and their hashes, one numpy pass over the bytes of a column
 # ---------------------------------------------------------------------------------------------

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import Words, text_bytes, words_of
+from footfall.llm.common import Words, text_bytes, tidy, words_of
 
 SAMPLE_ROWS = 12_000
 BITS = 20
@@ -288,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     )
     rows.sort(key=lambda r: tuple(r))  # the order of training must not depend on that of arrival
     known = spark.sparkContext.broadcast(learn_prefixes(rows))
-    cast = docs.mapInArrow(_vote(known), "doc_id long, junk binary, toxic binary")
+    cast = docs.mapInArrow(tidy(_vote(known)), "doc_id long, junk binary, toxic binary")
     counted = _with_given(cast, labels).groupBy("junk", "toxic", "given_junk", "given_toxic").count().collect()
     counted.sort(key=lambda r: tuple(r))
     models, weights = [], []
@@ -315,10 +315,10 @@ def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Scores of all documents: doc_id, n_words, weak and linear scores per target, kept."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_rows))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(_judge(sent), _DDL)
+    return source.mapInArrow(tidy(_judge(sent)), _DDL)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_rows))
-    return docs.mapInArrow(_filter(sent), docs.schema)
+    return docs.mapInArrow(tidy(_filter(sent)), docs.schema)

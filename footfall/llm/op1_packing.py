@@ -25,14 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import stored
+from footfall.llm.common import stored, tidy
 
 END_ID = 2
-#: Distinct words kept in a worker's table of ids; the frequent ones come first, others are not kept.
-WORDS_KEPT = 700_000
+#: Distinct words kept in a task's table of ids; the frequent ones come first, others are not kept.
+WORDS_KEPT = 300_000
 #: Tokens of waiting examples at which a task closes bins, so that memory stays bounded.
 WAITING_TOKENS = 4_000_000
-SLICE_ROWS = 2500
+#: Bytes of text, and rows, tokenised at a time.
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 2500
 #: Tasks whose last bins are packed together in a round.
 FAN_IN = 64
 
@@ -257,8 +258,7 @@ def _first_round(path: str, limits: Limits, keep_ids: bool):
                 del docs[row]
 
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in _slices(batch):
                 ids, offsets = token_ids(part.column("text"), path)
                 doc_ids, loss = part.column("doc_id").to_pylist(), part.column("loss").to_pylist()
                 for k, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
@@ -277,8 +277,23 @@ def _first_round(path: str, limits: Limits, keep_ids: bool):
         flush()
         rows.last(last, ids_of, doc_of, partition)
         yield rows.batch()
+        _CACHE.clear()
 
-    return run
+    return tidy(run)
+
+
+def _slices(batch: pa.RecordBatch):
+    """Parts of a batch that are bounded in bytes of text and in rows; one row at least."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = int(np.searchsorted(ends, before + SLICE_BYTES, "right"))
+        stop = min(max(at + 1, stop), at + SLICE_ROWS, batch.num_rows)
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
 def _next_round(limits: Limits, base: int, final: bool):

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from footfall.llm.common import windows, words_of
+from footfall.llm.common import tidy, windows, words_of
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -142,6 +142,36 @@ def _match(seeds_of, threshold: float, schema: pa.Schema):
     return run
 
 
+def _clean(seeds_of, threshold: float):
+    """Tasks that pass on the rows whose text holds none of the items."""
+
+    def run(batches):
+        seeds = Seeds(*seeds_of.value)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                keep = np.ones(part.num_rows, bool)
+                for r, _, covered, _, size in seeds.matches(part.column("text")):
+                    if covered >= threshold * size:
+                        keep[r] = False
+                yield part.filter(pa.array(keep))
+
+    return tidy(run)
+
+
+def without_items(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE, min_match: int = MIN_MATCH
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text holds no item.
+
+    Each row is judged by its own text, also where ids are null or repeated.
+    """
+    sent_of = docs.sparkSession.sparkContext.broadcast
+    for ids, texts in _blocks(benchmark):
+        docs = docs.mapInArrow(_clean(sent_of((ids, texts, min_match)), threshold), docs.schema)
+    return docs
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE, min_match: int = MIN_MATCH
 ) -> DataFrame:

@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from footfall.llm.common import Words, in_chunks, n_chunks, stored, windows, words_of
+from footfall.llm.common import Words, in_chunks, n_chunks, stored, tidy_group, windows, words_of
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 5 << 20
 #: Bits of a block hash after those of its bucket; two bits of the five bytes are flags.
 REST = 38
 _SENT = "bucket long, chunk long, data binary"
@@ -261,14 +261,14 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
     bits = max(3, (total // 6_000_000).bit_length())  # about a million hashes in a bucket
     dealt = in_chunks(source, "doc_id", n)
     slim = dealt.select("doc_id", "text", "chunk")
-    blocks = slim.groupBy("chunk").applyInArrow(_send_blocks(window // 2, bits), _SENT)
-    anchors = blocks.groupBy("bucket").applyInArrow(_find_anchors, _SENT)
+    blocks = slim.groupBy("chunk").applyInArrow(tidy_group(_send_blocks(window // 2, bits)), _SENT)
+    anchors = blocks.groupBy("bucket").applyInArrow(tidy_group(_find_anchors), _SENT)
     answers = stored(anchors.withColumn("kind", F.lit(0)), "anchors")
     places = (
         slim.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-        .applyInArrow(_send_windows(window, bits), _SENT)
+        .applyInArrow(tidy_group(_send_windows(window, bits)), _SENT)
     )
-    first = places.groupBy("bucket").applyInArrow(_find_first, _SENT).withColumn("kind", F.lit(1))
+    first = places.groupBy("bucket").applyInArrow(tidy_group(_find_first), _SENT).withColumn("kind", F.lit(1))
     answers = answers.unionByName(stored(first, "first-places"))
     fields = [docs.schema[c] for c in names]
     fields += [
@@ -278,4 +278,4 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
     ]
     out = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
     finish = _finish(window, bits, list(names), with_text, to_arrow_schema(out))
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, out)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(tidy_group(finish), out)
