@@ -24,10 +24,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group linked by five-word shingles."""
+    """One document, that with the smallest id, of each group linked by five-word shingles.
+
+    Rows are told apart by a key of their own, so rows with repeated or null ids are judged like
+    any others: of equal rows one stays, and a null id stays only if no row of its group has one.
+    """
     ship(spark)
-    found = op6_near_dup.near_duplicates(docs, width=5, threshold=0.8)
-    return docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    key = "_".join(["row", *docs.columns])  # no column's name
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    texts = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = op6_near_dup.near_duplicates(texts, width=5, threshold=0.8)
+    groups = found.select(F.col("doc_id").alias(key), "component_id").join(keyed.select(key, "doc_id"), key)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    first = groups.groupBy("component_id").agg(F.min_by(key, order).alias(key)).select(key)
+    return keyed.join(first, key, "left_semi").select(*docs.columns)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +50,9 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; each row is judged by its own text."""
     ship(spark)
-    found = op2_decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return op2_decontamination.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
