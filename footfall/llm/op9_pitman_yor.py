@@ -13,9 +13,14 @@ a dish one by one, later ones in blocks of an eighth of those seated). Restauran
 summed over all buckets after each round and held during the next: those of the root and the classes
 on the driver, those of words in a table, from which each bucket gets the words it seats for. A word
 before has as many customers as its count, and a table less for each customer that joined another;
-so only dishes of two customers or more are summed, once per word before and bucket. Averages over
-the sweeps of the last round go back to the chunks, with the totals of the chunks' own words, and
-the chunks score their texts.
+so only dishes of two customers or more are summed, once per word before and bucket.
+
+The seatings at the end of the last ``SAMPLES`` rounds are the samples. Their seeds are fixed, so
+the last pass seats them again, and now the totals of just these seatings are known: each sample
+gives proper probabilities, which sum to one over all words, the end and the unknown. Averaged over
+the samples are the classes' predictive probabilities, and of words before the discounted customers
+and the tables; a word's restaurant then adds what its customers and its class's average say, which
+sums to one as well. The averages go back to the chunks, and the chunks score their texts.
 Discounts are estimated from counts of counts, the strength is a parameter.
 
 Defined results: null, empty and blank texts hold the end token only. A null id counts as the
@@ -26,6 +31,7 @@ Without training texts all counts are 0. An empty table gives none; other column
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -33,12 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import in_chunks, n_chunks, release, stored, words_of
+from footfall.llm.common import in_chunks, n_chunks, stored, words_of
 
 CHUNK_BYTES = 8 << 20
 CLASSES = 256
 STRENGTH = 5.0
-ROUNDS, SWEEPS = 2, 3
+#: Rounds, seatings of a round, and rounds whose last seating is a sample.
+ROUNDS, SWEEPS, SAMPLES = 3, 2, 2
 END = np.uint64(0xE2D0F0A1B2C3D4E5)
 _DATA = "bucket long, chunk long, data binary"
 
@@ -112,12 +119,15 @@ def _cuts(words: np.ndarray, bits: int):
 
 
 def _arrays(*parts) -> bytes:
-    """Arrays of any kinds in one value, each compressed by the shuffle's own codec later."""
+    """Arrays of any kinds in one compressed value."""
     head = np.array([len(parts)] + [p.nbytes for p in parts], np.int64).tobytes()
-    return head + b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
+    data = head + b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def _read(data, *kinds) -> list[np.ndarray]:
+    size = int.from_bytes(bytes(data[:8]), "little")
+    data = pa.decompress(pa.py_buffer(data)[8:], decompressed_size=size, codec="zstd")
     n = len(kinds)
     sizes = np.frombuffer(data, np.int64, n + 1)[1:]
     at, out = 8 * (n + 1), []
@@ -192,7 +202,7 @@ def _merge(table: pa.Table) -> pa.Table:
         words, per_word, (pairs & ((1 << _LOW) - 1)).astype(np.uint32), count.astype(np.int64),
         np.array([c for c, _ in rows], np.int64), sizes, *_steps(asked, sizes),
     )
-    values = [zlib.compress(d, 1) for d in (data, _arrays(before, classes))]  # they stay on disk for several rounds
+    values = [data, _arrays(before, classes)]
     return pa.table([pa.array([table["bucket"][0].as_py()], pa.int64()), *(pa.array([v], pa.binary()) for v in values)],
                     ["bucket", "data", "contexts"])
 
@@ -233,9 +243,7 @@ class Bucket:
     """Words of one bucket with all restaurants that serve them."""
 
     def __init__(self, data, contexts: Contexts):
-        self.words, per_word, context, self.count, self.chunks, self.sizes, *steps = _read(
-            zlib.decompress(data), *_MERGED_KINDS
-        )
+        self.words, per_word, context, self.count, self.chunks, self.sizes, *steps = _read(data, *_MERGED_KINDS)
         self.word_of = np.repeat(np.arange(len(self.words)), per_word)
         self.asked = _from_steps(*steps, self.sizes)
         self.context = context.astype(np.int64)
@@ -248,6 +256,10 @@ class Bucket:
         self.leaf_at = np.flatnonzero(self.leaf)
         self.direct = np.bincount(self.class_of[~self.leaf], self.count[~self.leaf], len(self.classes))
         self.total = np.bincount(self.word_of, self.count, len(self.words))
+        self.open()
+
+    def open(self):
+        """One table per dish, the state that every round begins with."""
         self.leaf_tables = np.minimum(self.count[self.leaf_at], 1).astype(float)
         self.gather()
         self.class_tables = np.minimum(self.class_customers, 1)
@@ -315,8 +327,14 @@ class Bucket:
 _STATS = "word boolean, bucket long, k long, customers double, tables double"
 
 
-def _stats(b: int, bucket: Bucket, contexts: Contexts) -> pa.Table:
-    parts = [bucket.totals(), bucket.word_totals(contexts)]
+def _stats(b: int, bucket: Bucket, contexts: Contexts, later: bool = False) -> pa.Table:
+    """Totals of a bucket. Customers of words before never change, so rows of ``later`` rounds
+    stand only for words before with customers that lack a table of their own."""
+    words = bucket.word_totals(contexts)
+    if later:
+        lacks = words[2] != 0
+        words = tuple(x[lacks] for x in words)
+    parts = [bucket.totals(), words]
     n = [len(p[0]) for p in parts]
     k, customers, tables = (np.concatenate([p[c].view(np.int64) if c == 0 else p[c] for p in parts]) for c in range(3))
     columns = [pa.array(np.repeat([False, True], n)), pa.array(np.full(sum(n), b)), *map(pa.array, (k, customers, tables))]
@@ -324,7 +342,7 @@ def _stats(b: int, bucket: Bucket, contexts: Contexts) -> pa.Table:
 
 
 def _contexts(row) -> Contexts:
-    return Contexts(*_read(zlib.decompress(row["contexts"]), np.uint64, np.uint8))
+    return Contexts(*_read(row["contexts"], np.uint64, np.uint8))
 
 
 def _first(batches):
@@ -334,27 +352,42 @@ def _first(batches):
             yield from _stats(r["bucket"], Bucket(r["data"], contexts), contexts).to_batches()
 
 
-def _known(bucket: Bucket, contexts: Contexts, totals: Totals, known: pa.Table):
-    """The totals with those of the bucket's contexts; of the bucket's own words, the missing tables.
+class Known:
+    """Totals of words before, after one or more rounds, as a bucket gets them.
 
     Contexts that the bucket seats nobody anew for are left at zero, for nothing depends on them.
     """
-    k = known["k"].to_numpy().view(np.uint64)
-    order = np.argsort(k)
-    k, customers, lack = k[order], known["customers"].to_numpy()[order], known["tables"].to_numpy()[order]
 
-    def at(words, values):
-        if not len(k):
+    def __init__(self, table: pa.Table):
+        k = table["k"].to_numpy().view(np.uint64)
+        order = np.argsort(k)
+        self.k, self.customers = k[order], table["customers"].to_numpy()[order]
+        lists = table["lacking"].combine_chunks()
+        self.lacking = lists.flatten().to_numpy().reshape(table.num_rows, -1)[order] if table.num_rows else None
+
+    def _at(self, words: np.ndarray, values) -> np.ndarray:
+        if not len(self.k):
             return np.zeros(len(words))
-        i = np.minimum(np.searchsorted(k, words), len(k) - 1)
-        return np.where(k[i] == words, values[i], 0)
+        i = np.minimum(np.searchsorted(self.k, words), len(self.k) - 1)
+        return np.where(self.k[i] == words, values[i], 0)
+
+    def lack(self, words: np.ndarray, k: int) -> np.ndarray:
+        """Customers without a table of their own after the k-th of the rounds."""
+        return self._at(words, self.lacking[:, k] if len(self.k) else None)
+
+    def held(self, totals: Totals, contexts: Contexts, k: int) -> Totals:
+        """The totals of classes after the k-th of the rounds, and those of the bucket's contexts."""
+        of = self._at(contexts.words, self.customers)
+        tables = of - self.lack(contexts.words, k)
+        return totals._replace(customers=np.append(totals.customers, of), tables=np.append(totals.tables, tables))
 
-    of = at(contexts.words, customers)
-    tables = of - at(contexts.words, lack)
-    held = totals._replace(
-        customers=np.append(totals.customers, of), tables=np.append(totals.tables, tables)
-    )
-    return held, at(bucket.words, lack)
+
+def _seated(bucket: Bucket, held: Totals, b: int, number: int) -> None:
+    """Seat a bucket's customers as round ``number`` does."""
+    rng = np.random.default_rng([b, number])
+    bucket.open()
+    for _ in range(SWEEPS):
+        bucket.sweep(held, rng)
 
 
 def _round(totals: Totals, number: int):
@@ -362,41 +395,41 @@ def _round(totals: Totals, number: int):
         r = merged.to_pylist()[0]
         contexts = _contexts(r)
         bucket = Bucket(r["data"], contexts)
-        held, _ = _known(bucket, contexts, totals, known)
-        rng = np.random.default_rng([r["bucket"], number])
-        for _ in range(SWEEPS):
-            bucket.sweep(held, rng)
-        return _stats(r["bucket"], bucket, contexts)
+        _seated(bucket, Known(known).held(totals, contexts, 0), r["bucket"], number)
+        return _stats(r["bucket"], bucket, contexts, later=True)
 
     return run
 
 
-def _answer(totals: Totals):
-    """Per chunk and bucket: counts and missing tables of its words; of its pairs the discounted
-    customers and the parent's probability, from which the chunk gets theirs."""
+def _answer(totals: list[Totals], last: int):
+    """Per chunk and bucket: counts and missing tables of its words, discounted customers of its
+    pairs, and the probabilities of the (word, class) pairs behind them.
+
+    ``totals`` are those after the round before the first sample and after each sample's round,
+    of which ``last`` is the number of the last one; so is what is known of words before.
+    """
 
     def run(merged: pa.Table, known: pa.Table) -> pa.Table:
         r = merged.to_pylist()[0]
-        b, contexts = r["bucket"], _contexts(r)
+        b, contexts, of = r["bucket"], _contexts(r), Known(known)
         bucket = Bucket(r["data"], contexts)
-        held, lack = _known(bucket, contexts, totals, known)
-        rng = np.random.default_rng([b, 99])
-        tables, parent = np.zeros(len(bucket.leaf_at)), np.zeros(len(bucket.classes))
-        for k in range(1 + SWEEPS):  # the first sweep only forgets the start
-            bucket.sweep(held, rng)
-            if k:
-                tables += bucket.leaf_tables / SWEEPS
-                parent += bucket.predict(held)[1] / SWEEPS
-        seated = np.zeros(len(bucket.context), np.float32)
-        seated[bucket.leaf_at] = bucket.count[bucket.leaf_at] - totals.discounts[2] * tables
-        parent = parent.astype(np.float32)[bucket.class_of]
+        samples = len(totals) - 1
+        seated, parent = np.zeros(len(bucket.context)), np.zeros(len(bucket.classes))
+        for k in range(samples):
+            _seated(bucket, of.held(totals[k], contexts, k), b, last - samples + 1 + k)
+            own = of.held(totals[k + 1], contexts, k + 1)
+            discounted = bucket.count[bucket.leaf_at] - totals[0].discounts[2] * bucket.leaf_tables
+            seated[bucket.leaf_at] += discounted / samples
+            parent += bucket.predict(own)[1] / samples
+        seated, parent = seated.astype(np.float32), parent.astype(np.float32)
         ends = np.cumsum(bucket.sizes)
         out = []
         for lo, hi in zip(ends - bucket.sizes, ends):
             asked = bucket.asked[lo:hi]
             words = np.unique(bucket.word_of[asked])
-            data = _arrays(bucket.total[words].astype(np.int64), lack[words], seated[asked], parent[asked])
-            out.append(zlib.compress(data, 1))
+            classes = np.unique(bucket.class_of[asked])
+            lack = sum(of.lack(bucket.words[words], k + 1) for k in range(samples)) / samples
+            out.append(_arrays(bucket.total[words].astype(np.int64), lack, seated[asked], parent[classes]))
         return pa.table([pa.array([b] * len(out), pa.int64()), pa.array(bucket.chunks), pa.array(out, pa.binary())],
                         ["bucket", "chunk", "data"])
 
@@ -409,33 +442,42 @@ _OUT = pa.schema(
 )
 
 
+def token_values(t: Tokens, answers: pa.Table, totals: Totals, bits: int):
+    """Training count of each token's word, and the log10 of its averaged predictive probability."""
+    words, contexts, of_word, context, _, index = distinct_pairs(t)
+    begin = np.searchsorted(of_word, np.arange(len(words) + 1))
+    leaf = context >= CLASSES
+    parent_class = context.copy()
+    parent_class[leaf] = contexts.parent[context[leaf] - CLASSES]
+    classes, class_of = np.unique(of_word << 8 | parent_class, return_inverse=True)
+    class_begin = np.searchsorted(classes >> 8, np.arange(len(words) + 1))
+    said = dict(zip(answers["bucket"].to_pylist(), answers["data"]))
+    count, lack = np.zeros(len(words), np.int64), np.zeros(len(words))
+    seated, parent = np.zeros(len(of_word)), np.zeros(len(classes))
+    for b, lo, hi in _cuts(words, bits):
+        p, q = slice(begin[lo], begin[hi]), slice(class_begin[lo], class_begin[hi])
+        count[lo:hi], lack[lo:hi], seated[p], parent[q] = _read(
+            said[b].as_buffer(), np.int64, np.float64, np.float32, np.float32
+        )
+    at = np.flatnonzero(leaf)
+    u = np.searchsorted(words, contexts.words)[context[at] - CLASSES]  # a word before is a word of the chunk
+    probability = parent[class_of]
+    fresh = STRENGTH + totals.discounts[2] * (count[u] - lack[u])
+    probability[at] = (seated[at] + fresh * probability[at]) / (STRENGTH + count[u])
+    return count[of_word[index]], np.log10(probability)[index]
+
+
 def _score(totals: Totals, bits: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _OUT.empty_table()
         t = tokens_of(docs)
-        words, contexts, of_word, context, _, index = distinct_pairs(t)
-        begin = np.searchsorted(of_word, np.arange(len(words) + 1))
-        said = dict(zip(answers["bucket"].to_pylist(), answers["data"]))
-        count, lack = np.zeros(len(words), np.int64), np.zeros(len(words))
-        seated, parent = np.zeros(len(of_word)), np.zeros(len(of_word))
-        for b, lo, hi in _cuts(words, bits):
-            p = slice(begin[lo], begin[hi])
-            count[lo:hi], lack[lo:hi], seated[p], parent[p] = _read(
-                zlib.decompress(said[b].as_buffer()), np.int64, np.float64, np.float32, np.float32
-            )
-        probability = parent
-        leaf = np.flatnonzero(context >= CLASSES)
-        u = np.searchsorted(words, contexts.words)[context[leaf] - CLASSES]  # a word before is a word of the chunk
-        fresh = STRENGTH + totals.discounts[2] * (count[u] - lack[u])
-        probability[leaf] = (seated[leaf] + fresh * parent[leaf]) / (STRENGTH + count[u])
-        value = np.log10(probability)
-        known = count[of_word[index]]
+        known, value = token_values(t, answers, totals, bits)
         base = np.log10((known + 1) / (totals.tokens + 1 * (totals.vocabulary + 1)))
         add = lambda x: np.add.reduceat(x, t.first[:-1])
         n = docs.num_rows
         columns = [docs["doc_id"].combine_chunks(), ~t.trained, np.diff(t.first), add((known > 0).astype(np.int64)),
-                   np.full(n, totals.tokens), add(base), add(value[index])]
+                   np.full(n, totals.tokens), add(base), add(value)]
         return pa.table([pa.array(c, f.type) if isinstance(c, np.ndarray) else c for c, f in zip(columns, _OUT)], schema=_OUT)
 
     return run
@@ -455,32 +497,45 @@ def _sum(stats: DataFrame) -> Totals:
     return Totals(customers, tables, *get(0), int(get(1)[0]), int(get(1)[1]), tuple(discount(*get(k)) for k in (2, 3, 4)))
 
 
-def _by_word(stats: DataFrame) -> DataFrame:
-    """Totals of words before, for each bucket that knows of them."""
-    words = stats.where("word")
-    summed = words.groupBy("k").agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
-    return words.select("bucket", "k").join(summed, "k").select("bucket", "k", "customers", "tables")
+def _by_word(start: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """Totals of words before after each of ``rounds``, for each bucket that knows of them.
+
+    ``start`` are the totals before any round, which hold the customers.
+    """
+    zero, n = F.lit(0.0), len(rounds)
+    lists = [start.where("word").select("k", "customers", F.array(*[zero] * n))] + [
+        stats.where("word").select("k", zero, F.array(*(F.col("tables") if j == k else zero for j in range(n))))
+        for k, stats in enumerate(rounds)
+    ]
+    every = reduce(DataFrame.union, lists).toDF("k", "customers", "each")
+    sums = [F.sum(F.col("each")[j]).alias(f"lacking{j}") for j in range(n)]
+    summed = every.groupBy("k").agg(F.sum("customers").alias("customers"), *sums)
+    lacking = F.array(*(f"lacking{j}" for j in range(n))).alias("lacking")
+    return start.where("word").select("bucket", "k").join(summed, "k").select("bucket", "k", "customers", lacking)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of all ``docs``."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = n_chunks(docs, "text", 1)
     bits = max(3, (total // 6_000_000).bit_length())
 
-    dealt = in_chunks(docs, "doc_id", max(1, -(-total // CHUNK_BYTES)))
+    dealt = in_chunks(docs, ["doc_id", "text"], max(1, -(-total // CHUNK_BYTES)))
     asked = dealt.groupBy("chunk").applyInArrow(_ask(bits), _DATA)
     merged = stored(asked.groupBy("bucket").applyInArrow(_merge, _MERGED), "restaurants")
-    release(spark)
-    stats = stored(merged.mapInArrow(_first, _STATS), "totals")
-    # the model meets the totals of its contexts bucket by bucket
-    meet = lambda run, ddl: merged.groupBy("bucket").cogroup(_by_word(stats).groupBy("bucket")).applyInArrow(run, ddl)
+    rounds = [stored(merged.mapInArrow(_first, _STATS), "totals")]
+    totals = [_sum(rounds[0])]
+
+    def meet(run, ddl: str, known: list[DataFrame]) -> DataFrame:
+        """The model meets the totals of its contexts bucket by bucket."""
+        known = _by_word(rounds[0], known)
+        return merged.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, ddl)
+
     for number in range(1, 1 + ROUNDS):
-        stats = stored(meet(_round(_sum(stats), number), _STATS), "totals")
-        release(spark)
-    totals = _sum(stats)
-    ddl = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        rounds.append(stored(meet(_round(totals[-1], number), _STATS, rounds[-1:]), "totals"))
+        totals.append(_sum(rounds[-1]))
+        ddl = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
            "base_score double, score double")
-    answers = meet(_answer(totals), _DATA)
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(totals, bits), ddl)
+    kept = 1 + SAMPLES
+    answers = stored(meet(_answer(totals[-kept:], ROUNDS), _DATA, rounds[-kept:]), "answers")
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(totals[-1], bits), ddl)

@@ -3,10 +3,13 @@
 import hashlib
 import math
 import re
+import time
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 import corpus_pipeline
@@ -21,6 +24,7 @@ from footfall.llm import op7_url_filter as op7
 from footfall.llm import op8_html as op8
 from footfall.llm import op9_pitman_yor as op9
 from footfall.llm import op10_quality as op10
+from footfall.llm import common
 from footfall.llm.common import components, ship
 from footfall.llm.queries import ORACLE, QUERIES, vocabulary
 
@@ -264,6 +268,24 @@ def test_components(spark):
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 200: 100, 150: 100}
 
 
+@pytest.mark.parametrize("edges_of_task,fan_in", [(1 << 20, 16), (200, 4)])
+def test_components_of_a_large_group_over_many_tasks(spark, monkeypatch, edges_of_task, fan_in):
+    """One group of 20,000 copies that 200 tasks have seen in part, chains, and pairs."""
+    monkeypatch.setattr(common, "_EDGES", edges_of_task)
+    monkeypatch.setattr(common, "_FAN_IN", fan_in)
+    n = 20_000 if fan_in == 16 else 2_000
+    rng = np.random.default_rng(5)
+    group = [(int(b), int(a)) for a, b in rng.integers(0, n, (2 * n, 2)) if a != b] + [(k + 1, k) for k in range(n - 1)]
+    chains = [(10**6 + 50 * c + k, 10**6 + 50 * c + k + 1) for c in range(20) for k in range(30)]
+    pairs = [(10**7 + 2 * k + 1, 10**7 + 2 * k) for k in range(500)]
+    edges = ship(spark).createDataFrame(group + chains + pairs, "a long, b long").repartition(200 if fan_in == 16 else 24)
+    got = dict(components(edges).collect())
+    want = {k: 0 for k in range(n)}
+    want |= {i: 10**6 + 50 * c for c in range(20) for i in range(10**6 + 50 * c, 10**6 + 50 * c + 31)}
+    want |= {10**7 + k: 10**7 + k // 2 * 2 for k in range(1000)}
+    assert got == want
+
+
 def test_url_rules(spark):
     urls = ["http://WWW.Example.com/en/x", "http://example.com/en", "https://a.net/es/?q", "net/es/", None, "x://a.netx/es/", "x://net/fr/#t", "x://com"]
     df = ship(spark).createDataFrame(list(enumerate(urls)), "page_id long, url string")
@@ -331,9 +353,9 @@ def test_predictive_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     words = np.sort(rng.integers(1, 2**62, 50, dtype=np.uint64))
     pairs = np.array([w << 17 | c for w in range(50) for c in (1, 2)])
-    data = zlib.compress(op9._arrays(
+    data = op9._arrays(
         words, np.full(50, 2, np.uint32), (pairs & 3).astype(np.uint32), rng.integers(1, 30, 100).astype(np.int64),
-        np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint16)))
+        np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint16))
     bucket = op9.Bucket(data, contexts)
 
     def totals(discounts=(0.3, 0.4, 0.5)):
@@ -353,6 +375,76 @@ def test_predictive_probabilities_sum_to_one():
             assert p[bucket.context == c].sum() + rest == pytest.approx(1)
 
 
+def test_scored_probabilities_sum_to_one():
+    """On the path that scores: over all words, the end and an unknown word, after any word."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}{'ab'[k % 2]}" for k in range(25)]
+    held = [i for i in range(20_000) if op9.is_held_out(i)]
+    used = [i for i in range(400) if not op9.is_held_out(i)][:120]
+    train = [(i, " ".join(rng.choice(words, 12, p=np.arange(25, 0, -1) / 325))) for i in used]
+    texts = [""] + [w for w in [*words, "unseen"]] + [f"{u} {w}" for u in [*words, "other"] for w in [*words, "unseen"]]
+    rows = train + list(zip(held, texts))
+    table = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "chunk": [0] * len(rows)})
+    bits = 2
+    asked = op9._ask(bits)(table)
+    merged = [op9._merge(asked.filter(pc.equal(asked["bucket"], b))) for b in sorted(set(asked["bucket"].to_pylist()))]
+
+    def totals(stats):
+        class Rows:  # what the driver gets of the classes
+            def where(self, _):
+                return self
+
+            groupBy = agg = lambda self, *_: self
+
+            def collect(self):
+                sums = {}
+                for s in stats:
+                    for r in s.to_pylist():
+                        if not r["word"]:
+                            c, t = sums.get(r["k"], (0, 0))
+                            sums[r["k"]] = (c + r["customers"], t + r["tables"])
+                return [{"k": k, "c": c, "t": t} for k, (c, t) in sums.items()]
+
+        return op9._sum(Rows())
+
+    def known(rounds, bucket):
+        customers, lacking = Counter(), defaultdict(lambda: [0.0] * len(rounds))
+        for s in start:
+            for r in s.to_pylist():
+                if r["word"]:
+                    customers[r["k"]] += r["customers"]
+        for n, stats in enumerate(rounds):
+            for s in stats:
+                for r in s.to_pylist():
+                    if r["word"]:
+                        lacking[r["k"]][n] += r["tables"]
+        own = sorted({r["k"] for s in start for r in s.to_pylist() if r["word"] and r["bucket"] == bucket})
+        return pa.table({"k": pa.array(own, pa.int64()), "customers": [customers[k] for k in own],
+                         "lacking": pa.array([lacking[k] for k in own], pa.list_(pa.float64()))})
+
+    start = [pa.Table.from_batches(op9._first(m.to_batches())) for m in merged]
+    rounds = [start]
+    sums = [totals(rounds[0])]
+    number = lambda m: m["bucket"][0].as_py()
+    for n in range(1, 1 + op9.ROUNDS):
+        rounds.append([op9._round(sums[-1], n)(m, known(rounds[-1:], number(m))) for m in merged])
+        sums.append(totals(rounds[-1]))
+    kept = 1 + op9.SAMPLES
+    answer = op9._answer(sums[-kept:], op9.ROUNDS)
+    answers = pa.concat_tables([answer(m, known(rounds[-kept:], number(m))) for m in merged])
+    t = op9.tokens_of(table)
+    _, value = op9.token_values(t, answers, sums[-1], bits)
+    own = {}
+    for r, (_, text) in enumerate(rows[len(train) :], start=len(train)):
+        own[text] = 10 ** value[t.first[r] : t.first[r + 1]]
+    every = [*words, "unseen"]
+    assert own[""][0] + sum(own[w][0] for w in every) == pytest.approx(1, abs=1e-5)
+    for u in words:
+        assert own[u][1] + sum(own[f"{u} {w}"][1] for w in every) == pytest.approx(1, abs=1e-5)
+    # an unseen word before passes all on to its class
+    assert sum(own[f"other {w}"][1] for w in every) < 1
+
+
 def test_quality_on_held_out_labels(spark, docs, empty):
     folder = "/root/testdata/sf0.01"
     table = lambda n: ship(spark).read.parquet(f"{folder}/{n}.parquet")
@@ -378,6 +470,50 @@ def test_expectation_maximisation_finds_accuracies():
     assert abs(model["table"][1, 0, 2] - 0.9) < 0.06
 
 
+def test_pages_of_any_markup():
+    """No markup breaks the parser, and stray end tags take linear time."""
+    rng = np.random.default_rng(4)
+    parts = ["<![foo[ x ]]>", "<![CDATA[ a", "]]>", "<!DOCTYPE [ <!ENTITY", "<!--", "-->", "<p>", "</div>", "<article>", "</article>",
+             "text ", "<a b='", "<li", "&#xZ;", "</", "<?x", "<![if y]>", "<![endif]-->", "<script>", "</script>", "\x00", "<section id=q>"]
+    for _ in range(3000):
+        op8.main_text("".join(rng.choice(parts, rng.integers(1, 12))))
+    assert op8.main_text("<article><p>one</p><![foo[ x ]]><p>two</p></article>") == "one two"
+    started = time.time()
+    op8.main_text("<div>" * 60_000 + "</li>" * 60_000 + "end")
+    assert time.time() - started < 20
+
+
+def test_plain_words_do_not_exclude_a_section():
+    page = '<article><section id="share-price"><p>It rose by a tenth in a day of calm trade.</p></section>{}</article>'
+    text = "It rose by a tenth in a day of calm trade."
+    for name in ("share-buttons", "share", "related-posts", "sidebar-share-price", "notice"):
+        assert op8.main_text(page.format(f'<div class="{name}">not this</div>')) == text, name
+
+
+def test_pipeline_judges_rows_without_an_id_of_their_own(spark):
+    """Repeated and null ids, equal rows, clashing columns, empty and very long texts."""
+    words = lambda seed, n: " ".join(f"v{k}" for k in np.random.default_rng(seed).integers(0, 5000, n))
+    long, other = words(1, 400), words(2, 60)
+    item = ship(spark).read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(5, long), (5, long), (3, long + " w"), (None, long), (None, other), (None, other), (8, other + " x"), (9, words(3, 30_000)),
+            (9, words(4, 80)), (None, "so " + item), (12, item + " end"), (13, ""), (14, None)]
+    schema = "doc_id long, text string, lang string, row string, block int, component_id long"
+    docs = spark.createDataFrame([(i, t, "en", "r", 1, 2) for i, t in rows], schema)
+    near = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert near.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in near.collect()), key=str)
+    gone = [(5, long), (5, long), (None, long), (None, other), (None, other)]
+    want = [r for r in rows if r not in gone]
+    # the items differ by one word before and one after: the texts may or may not be similar
+    assert [r for r in kept if item not in (r[1] or "")] == sorted((r for r in want if item not in (r[1] or "")), key=str)
+    clean = corpus_pipeline.decontamination(spark, docs, SMALL)
+    assert clean.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in clean.collect()), key=str)
+    assert found == sorted((r for r in rows if item not in (r[1] or "")), key=str)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
 def test_pipeline(spark):
     docs = ship(spark).read.parquet(f"{SMALL}/documents.parquet")
     columns, before = docs.columns, {r.doc_id for r in docs.collect()}
