@@ -1,12 +1,13 @@
 """Operator 8: main text of web pages by text-to-tag ratio.
 
 The standard library's parser streams events over the page. Block tags cut it into lines; a line
-has its text, the number of its tags, its innermost article region, and whether it lies in a part
-that is never main text (menus, headers, footers, sidebars, forms, scripts, adverts, notices,
-reader comments: by tag, role, or words of class and id). The ratio of text to tags per line,
-taken as 0 in such parts, is smoothed with a Gaussian, and a two-means threshold splits the lines
-into content and rest. A region that holds a content line is kept as a whole, so that short
-headings and paragraphs of an article stay; if the page marks no region, blocks count as regions.
+has its text, the number of its tags, its region, and whether it lies in a part that is never main
+text (menus, headers, footers, sidebars, forms, scripts, adverts, notices, reader comments: by tag,
+role, or words of class and id). The ratio of text to tags of the other lines is smoothed with a
+Gaussian, and a two-means threshold splits them into content and rest. A region
+is the outermost article, or outside of articles the innermost division, section, cell or the body.
+The clustering chooses regions: one that holds a content line is kept as a whole, so that short
+headings and paragraphs of an article stay, and no other text is kept.
 
 Defined results: null or empty html gives an empty text; broken markup is read as the parser
 reads it (unclosed tags end with their container, a comment or script that never ends swallows the
@@ -33,6 +34,7 @@ EXCLUDED = frozenset(
     "style svg template textarea title video".split()
 )
 REGIONS = frozenset(("article", "main"))
+BOXES = frozenset(("body", "div", "section", "td"))
 TRACKED = EXCLUDED | REGIONS | frozenset("body div section table td ul ol dl li p figure span".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HINTS = frozenset(
@@ -59,7 +61,6 @@ class Lines(HTMLParser):
         self.lines: list[list] = []
         self.regions = 0
         self.count = 0
-        self.marked = False
         self.at: defaultdict[str, list[int]] = defaultdict(list)  # places of a tag among the open ones
         self.break_line()
 
@@ -88,11 +89,9 @@ class Lines(HTMLParser):
             _, region, excluded = self.open[-1] if self.open else ("", 0, False)
             if not excluded:
                 excluded = tag in EXCLUDED or (bool(attrs) and tag not in REGIONS and tag != "body" and hinted(attrs))
-            if tag in REGIONS and not excluded:
-                if not region:
-                    self.regions += 1
-                    region = self.regions
-                self.marked = True
+            if (tag in REGIONS or tag in BOXES) and not excluded and not any(self.at[x] for x in REGIONS):
+                self.regions += 1
+                region = self.regions
             self.at[tag].append(len(self.open))
             self.open.append((tag, region, excluded))
         if tag in BLOCKS or tag in TRACKED and self.open[-1][2] != self.line[3]:
@@ -165,26 +164,13 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
-    lines = [(" ".join("".join(x[0]).split()), *x[1:]) for x in parser.lines]
+    lines = [(" ".join("".join(x[0]).split()), *x[1:]) for x in parser.lines if not x[3]]
     lines = [x for x in lines if x[0]]
     if not lines:
         return ""
-    ratio = np.array([0 if x[3] else len(x[0]) / max(1, x[1]) for x in lines], float)
-    content = content_lines(ratio)
-    if parser.marked:
-        size: dict[int, int] = {}
-        chosen = set()
-        for x, good in zip(lines, content):
-            if x[2] and not x[3]:
-                size[x[2]] = size.get(x[2], 0) + len(x[0])
-                if good:
-                    chosen.add(x[2])
-        if not chosen and size:
-            chosen = {max(size, key=size.get)}
-        if chosen:
-            return " ".join(x[0] for x in lines if x[2] in chosen and not x[3])
-    good = [x[0] for x, c in zip(lines, content) if c and not x[3]]
-    return " ".join(good or [x[0] for x in lines if not x[3]])
+    content = content_lines(np.array([len(x[0]) / max(1, x[1]) for x in lines]))
+    chosen = {x[2] for x, good in zip(lines, content) if good}
+    return " ".join(x[0] for x in lines if x[2] in chosen)
 
 
 def _extract(batches):

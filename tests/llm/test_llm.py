@@ -483,6 +483,38 @@ def test_pages_of_any_markup():
     assert time.time() - started < 20
 
 
+PLAIN_PAGE = (
+    '<body><div><a href="/a">one</a> <a href="/b">two</a> <a href="/c">three</a></div>'
+    "<div><h2>Short head</h2><p>{0}</p><p>Brief.</p><p>{0}</p></div>"
+    '<div><a href="/d">four</a> <a href="/e">five</a></div></body>'
+)
+
+
+def test_clustering_chooses_the_regions(monkeypatch):
+    """Without a mark for the article the text's region stands, whole; nothing does without the clustering."""
+    body = "A sentence of some length that tells a story to its readers. " * 4
+    want = f"Short head {body}Brief. {body}".strip()
+    page = PLAIN_PAGE.format(body)
+    assert op8.main_text(page) == want
+    marked = page.replace("<div><h2>", "<article><h2>").replace(f"{body}</p></div>", f"{body}</p></article>")
+    assert "<article>" in marked and op8.main_text(marked) == want
+    for answer in (True, False):
+        monkeypatch.setattr(op8, "content_lines", lambda ratio, answer=answer: np.full(len(ratio), answer))
+        assert op8.main_text(page) != want and op8.main_text(marked) != want
+
+
+def test_odd_pages_on_spark(spark):
+    """Repeated rows, null ids and html, no rows, clashing columns, a page of a million characters."""
+    long = "<article>" + "<p>Some words of a very long page.</p>" * 28_000 + "</article>"
+    rows = [(1, "u", "<p>one</p>"), (1, "u", "<p>one</p>"), (None, None, None), (2, "v", ""), (3, "w", long)]
+    schema = "page_id long, url string, html string, text int, n_chars string"
+    df = ship(spark).createDataFrame([(*r, 5, "x") for r in rows], schema)
+    got = Counter(map(tuple, op8.extract_main_text(df).collect()))
+    body = " ".join(["Some words of a very long page."] * 28_000)
+    assert got == Counter([(1, "u", "one", 3)] * 2 + [(None, None, "", 0), (2, "v", "", 0), (3, "w", body, len(body))])
+    assert op8.extract_main_text(df.limit(0)).count() == 0
+
+
 def test_plain_words_do_not_exclude_a_section():
     page = '<article><section id="share-price"><p>It rose by a tenth in a day of calm trade.</p></section>{}</article>'
     text = "It rose by a tenth in a day of calm trade."
