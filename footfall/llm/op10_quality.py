@@ -5,13 +5,15 @@ abstain, and they overlap. Given labels take part as one more labeller that abst
 Expectation-maximisation (one latent class, votes independent given it, abstentions counted as an
 outcome) estimates the labellers' accuracies from the counts of vote patterns over all documents;
 a pattern is one of a bounded number, so only those counts reach the driver. The posteriors of a
-bounded sample of documents (``SAMPLE_ROWS``, dealt by a hash of the id) then train one hashed
-linear scorer per target on presence of words, word beginnings and marks. The scorer judges every
+bounded sample (about ``SAMPLE_ROWS``, half of them labelled rows, or all there are if fewer, and the
+rest others, each part drawn on its own by a hash of id and text) then train one hashed linear scorer per target on
+presence of words, word beginnings and marks. So the labelled rows in it stay as many when the
+documents grow and the labels don't. The scorer judges every
 whole document, also those on which all labellers abstain; where a heuristic has voted, the larger
 of posterior and score counts. Given labels serve to fit, not to judge. A document is kept if both targets stay below one half.
 
 Defined results: null, empty and blank texts have no words and are junk by definition (score 1,
-not kept). Repeated rows are judged alike, a null id by its text alone. Ids labelled more than once
+not kept). Repeated rows are judged alike and enter the sample once, a null id by its text alone. Ids labelled more than once
 count by their largest label. Without documents the result is empty, without labels the heuristics
 decide alone. Extra columns are ignored.
 """
@@ -272,6 +274,20 @@ _DDL = ("doc_id long, n_words long, junk_weak double, junk_linear double, junk d
         "toxic_weak double, toxic_linear double, toxic double, kept boolean")
 
 
+def _sampled(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
+    """Distinct rows with their given votes: half of ``sample_rows`` labelled, or all if fewer, the rest not."""
+    labelled = (F.col("given_junk") != 0) | (F.col("given_toxic") != 0)
+    counted = _with_given(docs.select("doc_id"), labels).agg(F.count(F.when(labelled, 1)), F.count("*")).first()
+    n_labelled, n_other = counted[0], counted[1] - counted[0]
+    wanted = min(n_labelled, sample_rows // 2)
+    parts = ((wanted, n_labelled), (sample_rows - wanted, n_other))
+    cuts = [int(min(1.0, wanted / max(1, n)) * (1 << 30)) for wanted, n in parts]
+    place = F.pmod("sample_key", F.lit(1 << 30))
+    keyed = docs.withColumn("sample_key", F.xxhash64(F.lit("sample"), "doc_id", "text")).where(place < max(cuts))
+    drawn = _with_given(keyed, labels).where(place < F.when(labelled, cuts[0]).otherwise(cuts[1]))
+    return drawn.dropDuplicates(["sample_key"]).drop("sample_key")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     """(learned word beginnings, label models, scorers) from the votes of all documents.
 
@@ -279,12 +295,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    share = min(1.0, sample_rows / max(1, docs.count()))
-    dealt = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
     rows = (
-        _with_given(docs.where(dealt), labels)
+        _sampled(docs, labels, sample_rows)
         .mapInArrow(_sample, "features binary, prefixes binary, junk binary, toxic binary")
-        .limit(2 * sample_rows).collect()
+        .collect()
     )
     rows.sort(key=lambda r: tuple(r))  # the order of training must not depend on that of arrival
     known = spark.sparkContext.broadcast(learn_prefixes(rows))
