@@ -1,16 +1,20 @@
 """Operator 4: exact top-k search by a vector-approximation file.
 
-Vectors are dealt into blocks of bounded size. A block holds its exact integer vectors and, as the
-approximation, one cell number of a few bits per component, with the cells' bounds. Every block of
-queries meets every block of candidates (the stated query set against all rows, in blocks). There
-the cells give a lower and an upper bound of each inner product; exact vectors are then read in the
-order of their bound, best first, until the k-th result found is certain, i.e. better than the
-bound of the next. The k best of each pair of blocks are merged per query.
+Vectors are dealt into blocks of bounded size, which are written once. A block holds its exact
+integer vectors and, as the approximation, one cell number of a few bits per component, with the
+cells' edges. First the cells alone are scanned: every block of queries meets the cells of every
+block of candidates (the stated query set against all rows, in blocks). One product with the cells'
+middles and the widest half cell give a lower and an upper bound of each inner product; rows whose
+upper bound lies below the block's k-th lower bound go. The highest of a query's k-th lower bounds
+over all blocks is its floor. Then a block's exact vectors are read, in the order of their bound,
+best first, only for what is above the floor, until the k-th result found is certain, i.e. better
+than the bound of the next. The k best of each pair of blocks are merged per query.
 
 Defined results: a vector that is null, empty or holds a null or non-finite component, or whose id
 is null, takes no part; vectors meet those of equal length only. Ties go to the smaller id. Repeated
-ids are candidates each on its own, except the query's own id. Components must be integers after
-``scale`` of less than 2**24 in size, which a vector beyond it raises on. An empty table gives none.
+ids are candidates each on its own, except the query's own id; of equal rows no more than k can
+count, so no more are held. Components after ``scale`` saturate at 2**61, scores at the limits of
+long. Other columns are ignored. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -20,10 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.llm.common import stored, tidy, tidy_group
+
 BLOCK = 4096
 QUERY_BLOCK = 2048
+#: Blocks of queries that share one reading of a block's exact vectors.
+SHARED = 32
 CELL_BITS = 4
-_BLOCK_SCHEMA = "dim int, block long, ids binary, exact binary, cells binary, bounds binary"
+LARGEST = 1 << 61
+_BLOCK_SCHEMA = "dim int, block long, ids binary, exact binary, cells binary, edges binary"
+_FOUND_SCHEMA = "dim int, q_block long, block long, floors array<double>, counts binary, places binary, upper binary"
+_BEST_SCHEMA = "query_id long, vec_id long, score long"
 
 
 def _usable(vector: str) -> Column:
@@ -36,82 +47,130 @@ def _pack(group: pa.Table) -> pa.Table:
     dim = group["dim"][0].as_py()
     ids = group["id"].combine_chunks().to_numpy()
     flat = group["v"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    if len(flat) and np.abs(flat).max() >= 1 << 24:
-        raise ValueError("a component is 2**24 or more after scaling")
     order = np.argsort(ids, kind="stable")
-    exact = flat.reshape(-1, dim)[order].astype(np.int32)
-    low, high = exact.min(0).astype(np.int64), exact.max(0).astype(np.int64)
-    cells = 1 << CELL_BITS
-    edges = low + (np.arange(cells + 1)[:, None] * (high - low + 1)) // cells
-    edges = edges.astype(np.int32)  # cell c of a component: edges[c] up to edges[c + 1] - 1
-    number = np.empty(exact.shape, np.uint8)
+    exact = flat.reshape(-1, dim)[order]
+    n = 1 << CELL_BITS
+    ends = list(zip(exact.min(0).tolist(), exact.max(0).tolist()))
+    # cell c of a component: edges[c] up to edges[c + 1] - 1
+    edges = np.array([[low + c * (high - low + 1) // n for low, high in ends] for c in range(n + 1)], np.int64)
+    cells = np.empty(exact.shape, np.uint8)
     for d in range(dim):
-        number[:, d] = np.searchsorted(edges[1:-1, d], exact[:, d], "right")
+        cells[:, d] = np.searchsorted(edges[1:-1, d], exact[:, d], "right")
+    if np.abs(exact).max() < 1 << 31:
+        exact = exact.astype(np.int32)
     row = [[dim], [group["block"][0].as_py()]]
-    row += [[x.tobytes()] for x in (ids[order].astype(np.int64), exact, number, edges)]
-    names = ["dim", "block", "ids", "exact", "cells", "bounds"]
+    row += [[x.tobytes()] for x in (ids[order].astype(np.int64), exact, cells, edges)]
+    names = ["dim", "block", "ids", "exact", "cells", "edges"]
     kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 4
     return pa.table([pa.array(x, k) for x, k in zip(row, kinds)], names)
 
 
-def _blocks(vectors: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """``vectors`` (id, dim, v) in blocks of about ``size``, one row each; how many numbers there are."""
+def _vectors(packed: bytes, n: int, dim: int) -> np.ndarray:
+    """The exact vectors of a block, in the width they were packed in."""
+    return np.frombuffer(packed, np.int32 if len(packed) == 4 * n * dim else np.int64).reshape(n, dim)
+
+
+def _blocks(vectors: DataFrame, size: int, k: int, label: str) -> tuple[DataFrame, int]:
+    """``vectors`` (id, dim, v) in written blocks of about ``size``, one row each; how many numbers there are."""
     n = max(1, -(-vectors.count() // size))
-    # dealt by row, so that repeated ids don't gather in one block; any deal gives the same result
-    at = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n))
-    return vectors.withColumn("block", at).groupBy("dim", "block").applyInArrow(_pack, _BLOCK_SCHEMA), n
-
-
-def search_block(q_ids, q, ids, exact, cells, edges, k: int):
-    """(query, rank order) of the k best of one block for each query, by filter and refinement."""
-    low = np.take_along_axis(edges, cells.astype(np.int64), 0).astype(np.float64)
-    high = np.take_along_axis(edges, cells.astype(np.int64) + 1, 0).astype(np.float64) - 1
-    np.minimum(high, exact.max(0), out=high)
-    positive, negative = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
-    upper = positive @ high.T + negative @ low.T
-    lower = positive @ low.T + negative @ high.T
-    n = len(ids)
-    if n > k:  # the k-th best lower bound of rows other than the query's own
-        lower[ids[None, :] == np.asarray(q_ids)[:, None]] = -np.inf
-        floor = np.partition(lower, n - k, axis=1)[:, n - k]
-    else:
-        floor = np.full(len(q_ids), -np.inf)
-    for i in range(len(q_ids)):
-        found = np.flatnonzero(upper[i] >= floor[i])
-        found = found[np.argsort(-upper[i, found], kind="stable")]
-        found = found[ids[found] != q_ids[i]]
-        best_id, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at, step = 0, 2 * k
-        while at < len(found) and (len(best) < k or upper[i, found[at]] >= best[-1]):
-            take = found[at : at + step]
-            score = exact[take].astype(np.int64) @ q[i]
-            best_id, best = np.concatenate([best_id, ids[take]]), np.concatenate([best, score])
-            order = np.lexsort((best_id, -best))[:k]
-            best_id, best = best_id[order], best[order]
-            at, step = at + step, step * 2
-        yield i, best_id, best
-
-
-def _search(k: int):
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k))))
+    held = vectors.groupBy("id", "dim", "v").agg(F.count("*").alias("copies")).withColumn("copy", copies)
+    # dealt by content, so that a task that runs again deals alike
+    held = held.withColumn("block", F.pmod(F.xxhash64("id", "v", "copy"), F.lit(n)))
+    held = held.select("dim", "block", "id", "v").groupBy("dim", "block").applyInArrow(tidy_group(_pack), _BLOCK_SCHEMA)
+    return stored(held, label), n
+
+
+def bounds(q: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(middle, width): each product of a query and a row lies within its middle plus or minus the query's width."""
+    low = np.take_along_axis(edges, cells.astype(np.int64), 0).astype(float)
+    high = (np.take_along_axis(edges, cells.astype(np.int64) + 1, 0) - 1).astype(float)
+    half = ((edges[1:] - edges[:-1]).max(0) - 1) / 2
+    size = np.abs(q.astype(float))
+    rounding = (q.shape[1] + 4) * 2.0**-51 * (size @ np.abs(edges.astype(float)).max(0))
+    return q.astype(float) @ ((low + high) / 2).T, size @ half + rounding
+
+
+def scan_cells(q_ids, q, ids, cells, edges, k: int) -> tuple[np.ndarray, list, list]:
+    """Per query: the k-th lower bound; places in the block, and upper bounds, of the rows that reach it."""
+    floors, places, upper = [], [], []
+    for lo in range(0, len(q_ids), 256):  # bounds the size of the matrix
+        part = slice(lo, lo + 256)
+        middle, width = bounds(q[part], cells, edges)
+        middle[ids[None, :] == q_ids[part, None]] = -np.inf  # a query's own rows never count
+        floor = np.full(len(middle), -np.inf)
+        if len(ids) >= k:
+            floor = np.partition(middle, len(ids) - k, axis=1)[:, len(ids) - k] - width
+        floors.append(floor)
+        for row, least, w in zip(middle, floor, width):
+            found = np.flatnonzero((row + w >= least) & (row > -np.inf))
+            places.append(found.astype(np.int32))
+            upper.append(row[found] + w)
+    return np.concatenate(floors), places, upper
+
+
+def _products(exact: np.ndarray, q: np.ndarray) -> np.ndarray:
+    if float(np.abs(exact).max()) * float(np.abs(q).max()) * len(q) < 2.0**62:
+        return exact.astype(np.int64) @ q.astype(np.int64)
+    wide = exact.astype(object) @ q.astype(object)
+    return np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in wide], np.int64)
+
+
+def refine(q, ids, exact, places, upper, floor: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, scores) of the k best rows of a block above ``floor``, reading exact vectors by bound."""
+    order = np.argsort(-upper, kind="stable")
+    order = order[upper[order] >= floor]
+    places, upper = places[order], upper[order]
+    best_id, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, step = 0, 2 * k
+    while at < len(places) and (len(best) < k or upper[at] >= best[-1]):
+        take = places[at : at + step]
+        best_id, best = np.concatenate([best_id, ids[take]]), np.concatenate([best, _products(exact[take], q)])
+        order = np.lexsort((best_id, ~best))[:k]  # ~x falls as x grows, also at the limits of long
+        best_id, best = best_id[order], best[order]
+        at, step = at + step, step * 2
+    return best_id, best
+
+
+def _scan(k: int):
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 dim = r["dim"]
+                q_ids, ids = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
+                q = _vectors(r["q_exact"], len(q_ids), dim)
+                cells = np.frombuffer(r["cells"], np.uint8).reshape(-1, dim)
+                edges = np.frombuffer(r["edges"], np.int64).reshape(-1, dim)
+                floors, places, upper = scan_cells(q_ids, q, ids, cells, edges, k)
+                counts = np.array([len(x) for x in places], np.int32)
+                packed = [counts.tobytes(), np.concatenate(places).tobytes(), np.concatenate(upper).tobytes()]
+                columns = [[dim], [r["q_block"]], [r["block"]], [floors.tolist()], *([x] for x in packed)]
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64())] + [pa.binary()] * 3
+                names = ["dim", "q_block", "block", "floors", "counts", "places", "upper"]
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], names)
+
+    return run
+
+
+def _refine(k: int):
+    def run(held: pa.Table, found: pa.Table) -> pa.Table:
+        out: list[list] = [[np.zeros(0, np.int64)] for _ in range(3)]
+        for h in held.to_pylist():  # one row
+            ids = np.frombuffer(h["ids"], np.int64)
+            exact = _vectors(h["exact"], len(ids), h["dim"])
+            for i in range(found.num_rows):
+                r = found.slice(i, 1).to_pylist()[0]
                 q_ids = np.frombuffer(r["q_ids"], np.int64)
-                ids = np.frombuffer(r["ids"], np.int64)
-                shaped = lambda x, kind: np.frombuffer(r[x], kind).reshape(-1, dim)
-                q = shaped("q_exact", np.int32).astype(np.int64)
-                exact, cells = shaped("exact", np.int32), shaped("cells", np.uint8)
-                edges = shaped("bounds", np.int32)
-                out: list[list] = [[], [], []]
-                for lo in range(0, len(q_ids), 256):  # bounds the size of the bound matrices
-                    part = slice(lo, lo + 256)
-                    for i, best_id, best in search_block(q_ids[part], q[part], ids, exact, cells, edges, k):
-                        out[0].append(np.full(len(best), q_ids[lo + i]))
-                        out[1].append(best_id)
-                        out[2].append(best)
-                columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in out]
-                yield pa.record_batch(columns, ["query_id", "vec_id", "score"])
+                q = _vectors(r["q_exact"], len(q_ids), h["dim"])
+                places, upper = np.frombuffer(r["places"], np.int32), np.frombuffer(r["upper"], np.float64)
+                first = np.concatenate([[0], np.cumsum(np.frombuffer(r["counts"], np.int32), dtype=np.int64)])
+                for j, floor in enumerate(r["floors"]):
+                    part = slice(first[j], first[j + 1])
+                    best_id, best = refine(q[j], ids, exact, places[part], upper[part], floor, k)
+                    out[0].append(np.full(len(best), q_ids[j]))
+                    out[1].append(best_id)
+                    out[2].append(best)
+        return pa.table([pa.array(np.concatenate(x)) for x in out], ["query_id", "vec_id", "score"])
 
     return run
 
@@ -125,29 +184,40 @@ def top_k(
     vector: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of ``vectors`` for each row of ``queries``."""
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
+    floor = lambda x: F.floor(x.cast("double") * scale)
+    whole = F.transform(vector, lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), floor(x))))
 
     def usable(df: DataFrame) -> DataFrame:
         return df.where(_usable(vector) & F.col(id_column).isNotNull()).select(
             F.col(id_column).cast("long").alias("id"), F.size(vector).alias("dim"), whole.alias("v")
         )
 
-    asked, n_asked = _blocks(usable(queries), QUERY_BLOCK)
-    held, n_held = _blocks(usable(vectors), BLOCK)
+    asked, n_asked = _blocks(usable(queries), QUERY_BLOCK, k, "top_k_queries")
+    held, n_held = _blocks(usable(vectors), BLOCK, k, "top_k_blocks")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     asked = asked.select(
         "dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact")
     )
     # keyed by both numbers, so that each pair of blocks is a task's work of its own
-    pairs = held.withColumn("q_block", every(n_asked)).join(
+    pairs = held.select("dim", "block", "ids", "cells", "edges").withColumn("q_block", every(n_asked)).join(
         asked.withColumn("block", every(n_held)), ["dim", "block", "q_block"]
     )
-    found = pairs.select(
-        "dim", "q_ids", "q_exact", "ids", "exact", "cells", "bounds"
-    ).mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = stored(pairs.mapInArrow(tidy(_scan(k)), _FOUND_SCHEMA), "top_k_found")
+    each = found.select("dim", "q_block", F.posexplode("floors").alias("place", "floor"))
+    highest = each.groupBy("dim", "q_block", "place").agg(F.max("floor").alias("floor"))
+    pair = F.struct("place", "floor")
+    floors = highest.groupBy("dim", "q_block").agg(
+        F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["floor"]).alias("floors")
+    )
+    shared = F.floor(F.col("q_block") / SHARED)
+    left = found.drop("floors").join(floors, ["dim", "q_block"]).join(asked, ["dim", "q_block"])
+    left = left.withColumn("shared", shared)
+    exact = held.select("dim", "block", "ids", "exact").withColumn("shared", every(-(-n_asked // SHARED)))
+    keys = ["dim", "block", "shared"]
+    result = exact.groupBy(*keys).cogroup(left.groupBy(*keys)).applyInArrow(tidy_group(_refine(k)), _BEST_SCHEMA)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(best))
+        result.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -180,6 +180,37 @@ def test_top_k_on_odd_vectors(spark):
     assert op4.top_k(df.limit(0), df).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Finite components of any size take part; scores beyond long saturate."""
+    rng = np.random.default_rng(8)
+    vectors = [(k, [float(x) for x in rng.normal(size=4) * 10.0 ** rng.integers(0, 8)]) for k in range(300)]
+    vectors += [(300, [300000.0, 1.0, 2.0, 3.0]), (301, [1e15, 0.0, 0.0, 0.0]), (302, [1e300, -1e300, 0.0, 0.0])]
+    df = ship(spark).createDataFrame(vectors, "vec_id long, embedding array<double>")
+    clamp = lambda x, top, low: max(low, min(top, x))
+    whole = lambda x: int(clamp(math.floor(64 * x), 1 << 61, -(1 << 61)))
+    ints = [(i, [whole(x) for x in v]) for i, v in vectors]
+    want = set()
+    for q, own in ints[::20] + ints[-2:]:
+        scores = [(clamp(sum(map(int.__mul__, own, v)), (1 << 63) - 1, -(1 << 63)), i) for i, v in ints if i != q]
+        best = sorted(scores, key=lambda x: (-x[0], x[1]))[:20]
+        want |= {(q, k + 1, i, score) for k, (score, i) in enumerate(best)}
+    asked = df.where("vec_id % 20 = 0 OR vec_id > 300")
+    assert {tuple(r) for r in op4.top_k(df, asked).collect()} == want
+
+
+def test_cells_bound_the_products():
+    rng = np.random.default_rng(9)
+    v = rng.integers(-60, 60, (500, 16))
+    group = pa.table({"dim": pa.array([16] * 500, pa.int32()), "block": [0] * 500, "id": range(500), "v": v.tolist()})
+    row = op4._pack(group).to_pylist()[0]
+    cells = np.frombuffer(row["cells"], np.uint8).reshape(-1, 16)
+    edges = np.frombuffer(row["edges"], np.int64).reshape(-1, 16)
+    middle, width = op4.bounds(v[:50], cells, edges)
+    assert (np.abs(v[:50] @ v.T - middle) <= width[:, None]).all() and width.min() > 0
+    floors, places, upper = op4.scan_cells(np.arange(50), v[:50], np.arange(500), cells, edges, 5)
+    assert sum(map(len, places)) < 50 * 499  # the cells alone rule rows out
+
+
 def test_top_k_with_repeated_query_ids(spark):
     rng = np.random.default_rng(4)
     vectors = [(k, [float(x) for x in rng.normal(size=6)]) for k in range(200)]
