@@ -30,7 +30,7 @@ BLOCK = 4096
 QUERY_BLOCK = 2048
 #: Blocks of queries that share one reading of a block's exact vectors.
 SHARED = 32
-CELL_BITS = 4
+CELL_BITS = 5
 LARGEST = 1 << 61
 _BLOCK_SCHEMA = "dim int, block long, ids binary, exact binary, cells binary, edges binary"
 _FOUND_SCHEMA = "dim int, q_block long, block long, floors array<double>, counts binary, places binary, upper binary"
