@@ -8,6 +8,7 @@ from functools import wraps
 from inspect import signature
 from pathlib import Path
 from typing import NamedTuple
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+#: Paths of tables that ``stored`` has written.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stored``, once what was computed from them is itself a written table.
+
+    A lost executor then goes back to that table, never to these.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(table))
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def _free() -> None:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import in_chunks, n_chunks, stored, words_of
+from footfall.llm.common import discard, in_chunks, n_chunks, stored, words_of
 
 CHUNK_BYTES = 8 << 20
 CLASSES = 256
@@ -118,10 +118,18 @@ def _cuts(words: np.ndarray, bits: int):
     return [(int(b), cuts[b], cuts[b + 1]) for b in np.flatnonzero(np.diff(cuts))]
 
 
+def _planes(part: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, so that leading zeros take no room once compressed."""
+    part = np.ascontiguousarray(part)
+    if part.dtype.kind == "f":
+        return part.tobytes()
+    return part.view(np.uint8).reshape(-1, part.itemsize).T.tobytes()
+
+
 def _arrays(*parts) -> bytes:
     """Arrays of any kinds in one compressed value."""
     head = np.array([len(parts)] + [p.nbytes for p in parts], np.int64).tobytes()
-    data = head + b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
+    data = head + b"".join(map(_planes, parts))
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
@@ -131,12 +139,34 @@ def _read(data, *kinds) -> list[np.ndarray]:
     n = len(kinds)
     sizes = np.frombuffer(data, np.int64, n + 1)[1:]
     at, out = 8 * (n + 1), []
-    for size, kind in zip(sizes, kinds):
-        out.append(np.frombuffer(data, kind, int(size) // np.dtype(kind).itemsize, at))
+    for size, kind in zip(sizes, map(np.dtype, kinds)):
+        part = np.frombuffer(data, np.uint8, int(size), at)
+        if kind.kind != "f":
+            part = np.ascontiguousarray(part.reshape(kind.itemsize, -1).T).ravel()
+        out.append(part.view(kind))
         at += int(size)
     return out
 
 
+def _steps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ascending runs of ``sizes``: the first of each run as it is, others less the one before."""
+    step = np.diff(values, prepend=values[:1])
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    step[starts] = values[starts]
+    return step
+
+
+def _from_steps(step: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    sums = np.cumsum(step, dtype=step.dtype)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    return sums - np.repeat(sums[starts] - step[starts], sizes[sizes > 0])
+
+
+def _one(values: np.ndarray) -> np.ndarray:
+    """The size of an array that is one run."""
+    return np.array([len(values)], np.int64)
+
+
 def _ask(bits: int):
     def run(table: pa.Table) -> pa.Table:
         words, contexts, of_word, context, count, _ = distinct_pairs(tokens_of(table))
@@ -148,10 +178,11 @@ def _ask(bits: int):
             used = np.unique(context[p])
             used = used[used >= CLASSES]
             own = np.where(context[p] < CLASSES, context[p], CLASSES + np.searchsorted(used, context[p]))
+            own, before = own.astype(np.uint32), contexts.words[used - CLASSES]
             buckets.append(b)
             data.append(_arrays(
-                words[lo:hi], n, own.astype(np.uint32), count[p].astype(np.uint32),
-                contexts.words[used - CLASSES], contexts.parent[used - CLASSES].astype(np.uint8)))
+                _steps(words[lo:hi], _one(words[lo:hi])), n, _steps(own, n), count[p].astype(np.uint32),
+                _steps(before, _one(before)), contexts.parent[used - CLASSES].astype(np.uint8)))
         chunk = table["chunk"][0].as_py()
         return pa.table([pa.array(buckets, pa.int64()), pa.array([chunk] * len(data), pa.int64()), pa.array(data, pa.binary())],
                         ["bucket", "chunk", "data"])
@@ -159,25 +190,13 @@ def _ask(bits: int):
     return run
 
 
-_MERGED_KINDS = (np.uint64, np.uint32, np.uint32, np.int64, np.int64, np.int64, np.uint32, np.uint16)
-
-
-def _steps(asked: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending runs as steps of two bytes; larger steps stand in a list of their own."""
-    step = np.diff(asked, prepend=0)
-    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    step[starts] = asked[starts]
-    large = step >= 65535
-    return step[large].astype(np.uint32), np.where(large, 65535, step).astype(np.uint16)
+def _asked(data) -> list[np.ndarray]:
+    """What ``_ask`` sent: words, pairs of each, their restaurants and counts; contexts, their classes."""
+    words, n, own, count, before, classes = _read(data, np.uint64, np.uint32, np.uint32, np.uint32, np.uint64, np.uint8)
+    return [_from_steps(words, _one(words)), n, _from_steps(own, n), count, _from_steps(before, _one(before)), classes]
 
 
-def _from_steps(large: np.ndarray, small: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    step = small.astype(np.int64)
-    step[small == 65535] = large
-    sums = np.cumsum(step)
-    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    before = sums[starts] - step[starts]
-    return sums - np.repeat(before, sizes[sizes > 0])
+_MERGED_KINDS = (np.uint64, np.uint32, np.uint32, np.int64, np.int64, np.int64, np.uint32)
 
 
 _MERGED = "bucket long, data binary, contexts binary"
@@ -186,7 +205,7 @@ _MERGED = "bucket long, data binary, contexts binary"
 def _merge(table: pa.Table) -> pa.Table:
     """One row per bucket: its words, its pairs with their counts, and which pairs a chunk asked."""
     rows = sorted(zip(table["chunk"].to_pylist(), table["data"].to_pylist()))
-    parts = [_read(d, np.uint64, np.uint32, np.uint32, np.uint32, np.uint64, np.uint8) for _, d in rows]
+    parts = [_asked(d) for _, d in rows]
     words = np.unique(np.concatenate([p[0] for p in parts]))
     before, at = np.unique(np.concatenate([p[4] for p in parts]), return_index=True)
     classes = np.concatenate([p[5] for p in parts])[at]
@@ -198,20 +217,23 @@ def _merge(table: pa.Table) -> pa.Table:
     count = np.bincount(asked, weights=np.concatenate([p[3] for p in parts]), minlength=len(pairs))
     sizes = np.array([len(p[2]) for p in parts], np.int64)
     per_word = np.bincount(pairs >> _LOW, minlength=len(words)).astype(np.uint32)
+    restaurants = (pairs & ((1 << _LOW) - 1)).astype(np.uint32)
     data = _arrays(
-        words, per_word, (pairs & ((1 << _LOW) - 1)).astype(np.uint32), count.astype(np.int64),
-        np.array([c for c, _ in rows], np.int64), sizes, *_steps(asked, sizes),
+        _steps(words, _one(words)), per_word, _steps(restaurants, per_word), count.astype(np.int64),
+        np.array([c for c, _ in rows], np.int64), sizes, _steps(asked.astype(np.uint32), sizes),
     )
-    values = [data, _arrays(before, classes)]
+    values = [data, _arrays(_steps(before, _one(before)), classes)]
     return pa.table([pa.array([table["bucket"][0].as_py()], pa.int64()), *(pa.array([v], pa.binary()) for v in values)],
                     ["bucket", "data", "contexts"])
 
 
 def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng) -> np.ndarray:
     """Tables that ``customers`` of one dish take, if a new table has the weight ``fresh``."""
-    order = np.argsort(-customers, kind="stable")
+    out = np.minimum(customers, 1).astype(np.float64)
+    many = np.flatnonzero(customers > 1)  # one customer has one table
+    order = many[np.argsort(-customers[many], kind="stable")]
     c, a = customers[order], fresh[order]
-    t = np.minimum(c, 1).astype(np.float64)
+    t = np.ones(len(order))
     n = 1
     up = -c  # ascending, for counting how many have more than n
     while k := int(np.searchsorted(up, -n, "left")):
@@ -222,7 +244,6 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng) -> np.n
         else:
             t[:k] += rng.binomial(np.minimum(step, c[:k] - n), np.clip(p, 0, 1))
         n += step
-    out = np.empty_like(t)
     out[order] = t
     return out
 
@@ -243,10 +264,11 @@ class Bucket:
     """Words of one bucket with all restaurants that serve them."""
 
     def __init__(self, data, contexts: Contexts):
-        self.words, per_word, context, self.count, self.chunks, self.sizes, *steps = _read(data, *_MERGED_KINDS)
+        words, per_word, steps, self.count, self.chunks, self.sizes, asked = _read(data, *_MERGED_KINDS)
+        self.words = _from_steps(words, _one(words))
         self.word_of = np.repeat(np.arange(len(self.words)), per_word)
-        self.asked = _from_steps(*steps, self.sizes)
-        self.context = context.astype(np.int64)
+        self.asked = _from_steps(asked, self.sizes)
+        self.context = _from_steps(steps, per_word).astype(np.int64)
         self.leaf = self.context >= CLASSES
         parent = self.context.copy()
         parent[self.leaf] = contexts.parent[self.context[self.leaf] - CLASSES]
@@ -254,28 +276,42 @@ class Bucket:
         self.classes, self.class_of = np.unique(self.word_of << 8 | parent, return_inverse=True)
         self.class_word, self.class_id = self.classes >> 8, self.classes & 255
         self.leaf_at = np.flatnonzero(self.leaf)
+        self.leaf_class, self.leaf_count = self.class_of[self.leaf_at], self.count[self.leaf_at]
+        self.leaf_one = np.minimum(self.leaf_count, 1).astype(float)
+        self.many = np.flatnonzero(self.leaf_count > 1)  # the only dishes that are seated by chance
+        self.many_class, self.many_count = self.leaf_class[self.many], self.leaf_count[self.many]
+        self.many_context = self.context[self.leaf_at][self.many]
         self.direct = np.bincount(self.class_of[~self.leaf], self.count[~self.leaf], len(self.classes))
+        one = np.where(self.leaf_count > 1, 0, self.leaf_one)
+        self.direct = self.direct + np.bincount(self.leaf_class, one, len(self.classes))
         self.total = np.bincount(self.word_of, self.count, len(self.words))
         self.open()
 
     def open(self):
         """One table per dish, the state that every round begins with."""
-        self.leaf_tables = np.minimum(self.count[self.leaf_at], 1).astype(float)
+        self.leaf_tables = self.leaf_one.copy()
         self.gather()
         self.class_tables = np.minimum(self.class_customers, 1)
         self.root_customers = np.bincount(self.class_word, self.class_tables, len(self.words))
         self.root_tables = np.minimum(self.root_customers, 1)
 
     def gather(self):
-        self.class_customers = self.direct + np.bincount(self.class_of[self.leaf_at], self.leaf_tables, len(self.classes))
+        """Customers of classes; ``direct`` are those that no seating changes."""
+        self.class_customers = self.direct + np.bincount(self.many_class, self.leaf_tables[self.many], len(self.classes))
 
-    def predict(self, s: Totals):
-        """Predictive probabilities of words, (word, class) pairs and all pairs."""
-        d0, d1, d2 = s.discounts
+    def above(self, s: Totals):
+        """Predictive probabilities of words and (word, class) pairs."""
+        d0, d1, _ = s.discounts
         uniform = 1 / (s.vocabulary + 1)
         p0 = (self.root_customers - d0 * self.root_tables + (STRENGTH + d0 * s.root_tables) * uniform) / (STRENGTH + s.root_customers)
         k = self.class_id
         p1 = (self.class_customers - d1 * self.class_tables + (STRENGTH + d1 * s.tables[k]) * p0[self.class_word]) / (STRENGTH + s.customers[k])
+        return p0, p1
+
+    def predict(self, s: Totals):
+        """Predictive probabilities of words, (word, class) pairs and all pairs."""
+        d2 = s.discounts[2]
+        p0, p1 = self.above(s)
         p = p1[self.class_of]
         at, u = self.leaf_at, self.context[self.leaf_at]
         p[at] = (self.count[at] - d2 * self.leaf_tables + (STRENGTH + d2 * s.tables[u]) * p[at]) / (STRENGTH + s.customers[u])
@@ -284,9 +320,9 @@ class Bucket:
     def sweep(self, s: Totals, rng):
         """Seat all customers anew, from the leaves to the root."""
         d0, d1, d2 = s.discounts
-        p0, p1, _ = self.predict(s)
-        u = self.context[self.leaf_at]
-        self.leaf_tables = seat(self.count[self.leaf_at], (STRENGTH + d2 * s.tables[u]) * p1[self.class_of[self.leaf_at]], d2, rng)
+        p0, p1 = self.above(s)
+        fresh = (STRENGTH + d2 * s.tables[self.many_context]) * p1[self.many_class]
+        self.leaf_tables[self.many] = seat(self.many_count, fresh, d2, rng)
         self.gather()
         self.class_tables = seat(
             self.class_customers.astype(np.int64), (STRENGTH + d1 * s.tables[self.class_id]) * p0[self.class_word], d1, rng
@@ -302,7 +338,7 @@ class Bucket:
         at = np.flatnonzero(customers)
         singles = lambda c: (float((c == 1).sum()), float((c == 2).sum()))
         extra = [(self.root_customers.sum(), self.root_tables.sum()), (float((self.total > 0).sum()), self.total.sum()),
-                 singles(self.root_customers), singles(self.class_customers), singles(self.count[self.leaf_at])]
+                 singles(self.root_customers), singles(self.class_customers), singles(self.leaf_count)]
         keys = np.append(at, -1 - np.arange(len(extra)))
         return keys, np.append(customers[at], [e[0] for e in extra]), np.append(tables[at], [e[1] for e in extra])
 
@@ -312,10 +348,9 @@ class Bucket:
         The bucket that a word itself is in knows its customers: each of its tokens has a next one.
         Words without a dish of two customers lack no table, so only words seen twice count.
         """
-        many = self.leaf_at[self.count[self.leaf_at] > 1]
-        lacking = np.bincount(self.context[many] - CLASSES, (self.count - 0.0)[many], len(contexts.words))
-        lacking -= np.bincount(self.context[many] - CLASSES, self.leaf_tables[self.count[self.leaf_at] > 1], len(contexts.words))
-        seats = np.unique(self.context[many] - CLASSES)
+        many, tables = self.many_context - CLASSES, self.leaf_tables[self.many]
+        lacking = np.bincount(many, self.many_count - tables, len(contexts.words))
+        seats = np.flatnonzero(np.bincount(many, minlength=len(contexts.words)))
         own = self.total > 1
         words, at = np.unique(np.concatenate([contexts.words[seats], self.words[own]]), return_inverse=True)
         customers, lack = np.zeros(len(words)), np.zeros(len(words))
@@ -342,7 +377,8 @@ def _stats(b: int, bucket: Bucket, contexts: Contexts, later: bool = False) -> p
 
 
 def _contexts(row) -> Contexts:
-    return Contexts(*_read(row["contexts"], np.uint64, np.uint8))
+    before, classes = _read(row["contexts"], np.uint64, np.uint8)
+    return Contexts(_from_steps(before, _one(before)), classes)
 
 
 def _first(batches):
@@ -365,20 +401,23 @@ class Known:
         lists = table["lacking"].combine_chunks()
         self.lacking = lists.flatten().to_numpy().reshape(table.num_rows, -1)[order] if table.num_rows else None
 
-    def _at(self, words: np.ndarray, values) -> np.ndarray:
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where ``words`` are known, and whether they are."""
         if not len(self.k):
-            return np.zeros(len(words))
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
         i = np.minimum(np.searchsorted(self.k, words), len(self.k) - 1)
-        return np.where(self.k[i] == words, values[i], 0)
+        return i, self.k[i] == words
 
-    def lack(self, words: np.ndarray, k: int) -> np.ndarray:
-        """Customers without a table of their own after the k-th of the rounds."""
-        return self._at(words, self.lacking[:, k] if len(self.k) else None)
+    def lack(self, found: tuple[np.ndarray, np.ndarray], k: int) -> np.ndarray:
+        """Customers without a table of their own after the k-th of the rounds, where ``find`` has found."""
+        i, known = found
+        return np.where(known, self.lacking[i, k], 0) if len(self.k) else np.zeros(len(i))
 
-    def held(self, totals: Totals, contexts: Contexts, k: int) -> Totals:
+    def held(self, totals: Totals, found: tuple[np.ndarray, np.ndarray], k: int) -> Totals:
         """The totals of classes after the k-th of the rounds, and those of the bucket's contexts."""
-        of = self._at(contexts.words, self.customers)
-        tables = of - self.lack(contexts.words, k)
+        i, known = found
+        of = np.where(known, self.customers[i], 0) if len(self.k) else np.zeros(len(i))
+        tables = of - self.lack(found, k)
         return totals._replace(customers=np.append(totals.customers, of), tables=np.append(totals.tables, tables))
 
 
@@ -395,7 +434,8 @@ def _round(totals: Totals, number: int):
         r = merged.to_pylist()[0]
         contexts = _contexts(r)
         bucket = Bucket(r["data"], contexts)
-        _seated(bucket, Known(known).held(totals, contexts, 0), r["bucket"], number)
+        of = Known(known)
+        _seated(bucket, of.held(totals, of.find(contexts.words), 0), r["bucket"], number)
         return _stats(r["bucket"], bucket, contexts, later=True)
 
     return run
@@ -414,22 +454,30 @@ def _answer(totals: list[Totals], last: int):
         b, contexts, of = r["bucket"], _contexts(r), Known(known)
         bucket = Bucket(r["data"], contexts)
         samples = len(totals) - 1
+        found = of.find(contexts.words)
         seated, parent = np.zeros(len(bucket.context)), np.zeros(len(bucket.classes))
         for k in range(samples):
-            _seated(bucket, of.held(totals[k], contexts, k), b, last - samples + 1 + k)
-            own = of.held(totals[k + 1], contexts, k + 1)
-            discounted = bucket.count[bucket.leaf_at] - totals[0].discounts[2] * bucket.leaf_tables
+            _seated(bucket, of.held(totals[k], found, k), b, last - samples + 1 + k)
+            own = of.held(totals[k + 1], found, k + 1)
+            discounted = bucket.leaf_count - totals[0].discounts[2] * bucket.leaf_tables
             seated[bucket.leaf_at] += discounted / samples
-            parent += bucket.predict(own)[1] / samples
+            parent += bucket.above(own)[1] / samples
         seated, parent = seated.astype(np.float32), parent.astype(np.float32)
         ends = np.cumsum(bucket.sizes)
+        words_found = of.find(bucket.words)
+        lacking = sum(of.lack(words_found, k + 1) for k in range(samples)) / samples
+        marked = np.zeros(len(bucket.classes), bool)
         out = []
-        for lo, hi in zip(ends - bucket.sizes, ends):
-            asked = bucket.asked[lo:hi]
-            words = np.unique(bucket.word_of[asked])
-            classes = np.unique(bucket.class_of[asked])
-            lack = sum(of.lack(bucket.words[words], k + 1) for k in range(samples)) / samples
-            out.append(_arrays(bucket.total[words].astype(np.int64), lack, seated[asked], parent[classes]))
+        for begin, end in zip(ends - bucket.sizes, ends):
+            asked = bucket.asked[begin:end]
+            words = bucket.word_of[asked]  # ascending
+            words = words[np.diff(words, prepend=-1) > 0]
+            own = bucket.class_of[asked]
+            lo, hi = own.min(), own.max() + 1
+            marked[own] = True
+            classes = lo + np.flatnonzero(marked[lo:hi])
+            marked[own] = False
+            out.append(_arrays(bucket.total[words].astype(np.int64), lacking[words], seated[asked], parent[classes]))
         return pa.table([pa.array([b] * len(out), pa.int64()), pa.array(bucket.chunks), pa.array(out, pa.binary())],
                         ["bucket", "chunk", "data"])
 
@@ -497,21 +545,28 @@ def _sum(stats: DataFrame) -> Totals:
     return Totals(customers, tables, *get(0), int(get(1)[0]), int(get(1)[1]), tuple(discount(*get(k)) for k in (2, 3, 4)))
 
 
-def _by_word(start: DataFrame, rounds: list[DataFrame]) -> DataFrame:
-    """Totals of words before after each of ``rounds``, for each bucket that knows of them.
+def _wanted(start: DataFrame) -> DataFrame:
+    """(bucket, k, customers, seats) of the words that buckets know of; customers never change.
 
-    ``start`` are the totals before any round, which hold the customers.
+    Of ``start``, the totals before any round. A bucket seats customers anew for the words with
+    ``seats``; of the others it is asked how many lack a table in the end.
     """
-    zero, n = F.lit(0.0), len(rounds)
-    lists = [start.where("word").select("k", "customers", F.array(*[zero] * n))] + [
-        stats.where("word").select("k", zero, F.array(*(F.col("tables") if j == k else zero for j in range(n))))
-        for k, stats in enumerate(rounds)
+    words = start.where("word")
+    customers = words.groupBy("k").agg(F.sum("customers").alias("customers"))
+    return words.select("bucket", "k", (F.col("tables") > 0).alias("seats")).join(customers, "k")
+
+
+def _by_word(wanted: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """(bucket, k, customers, lacking after each of ``rounds``) of ``wanted`` words."""
+    n = len(rounds)
+    lists = [
+        stats.where("word and tables != 0").select("k", *(F.col("tables") if j == i else F.lit(0.0) for j in range(n)))
+        for i, stats in enumerate(rounds)
     ]
-    every = reduce(DataFrame.union, lists).toDF("k", "customers", "each")
-    sums = [F.sum(F.col("each")[j]).alias(f"lacking{j}") for j in range(n)]
-    summed = every.groupBy("k").agg(F.sum("customers").alias("customers"), *sums)
-    lacking = F.array(*(f"lacking{j}" for j in range(n))).alias("lacking")
-    return start.where("word").select("bucket", "k").join(summed, "k").select("bucket", "k", "customers", lacking)
+    names = [f"lacking{j}" for j in range(n)]
+    summed = reduce(DataFrame.union, lists).toDF("k", *names).groupBy("k").agg(*(F.sum(c).alias(c) for c in names))
+    lacking = F.array(*(F.coalesce(c, F.lit(0.0)) for c in names)).alias("lacking")
+    return wanted.join(summed, "k", "left").select("bucket", "k", "customers", lacking)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -525,17 +580,17 @@ def score_texts(docs: DataFrame) -> DataFrame:
     merged = stored(asked.groupBy("bucket").applyInArrow(_merge, _MERGED), "restaurants")
     rounds = [stored(merged.mapInArrow(_first, _STATS), "totals")]
     totals = [_sum(rounds[0])]
+    wanted = stored(_wanted(rounds[0]), "words-before")
 
-    def meet(run, ddl: str, known: list[DataFrame]) -> DataFrame:
+    def meet(run, ddl: str, known: DataFrame) -> DataFrame:
         """The model meets the totals of its contexts bucket by bucket."""
-        known = _by_word(rounds[0], known)
         return merged.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, ddl)
 
     for number in range(1, 1 + ROUNDS):
-        rounds.append(stored(meet(_round(totals[-1], number), _STATS, rounds[-1:]), "totals"))
+        rounds.append(stored(meet(_round(totals[-1], number), _STATS, _by_word(wanted.where("seats"), rounds[-1:])), "totals"))
         totals.append(_sum(rounds[-1]))
-        ddl = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-           "base_score double, score double")
     kept = 1 + SAMPLES
-    answers = stored(meet(_answer(totals[-kept:], ROUNDS), _DATA, rounds[-kept:]), "answers")
+    answers = stored(meet(_answer(totals[-kept:], ROUNDS), _DATA, _by_word(wanted, rounds[-kept:])), "answers")
+    discard(merged, wanted, *rounds)  # only the answers are read from here on
+    ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(totals[-1], bits), ddl)

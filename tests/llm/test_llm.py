@@ -384,9 +384,10 @@ def test_predictive_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     words = np.sort(rng.integers(1, 2**62, 50, dtype=np.uint64))
     pairs = np.array([w << 17 | c for w in range(50) for c in (1, 2)])
+    two = np.full(50, 2, np.uint32)
     data = op9._arrays(
-        words, np.full(50, 2, np.uint32), (pairs & 3).astype(np.uint32), rng.integers(1, 30, 100).astype(np.int64),
-        np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint16))
+        op9._steps(words, np.array([50])), two, op9._steps((pairs & 3).astype(np.uint32), two),
+        rng.integers(1, 30, 100).astype(np.int64), *[np.zeros(0, np.int64)] * 2, np.zeros(0, np.uint32))
     bucket = op9.Bucket(data, contexts)
 
     def totals(discounts=(0.3, 0.4, 0.5)):
@@ -406,6 +407,30 @@ def test_predictive_probabilities_sum_to_one():
             assert p[bucket.context == c].sum() + rest == pytest.approx(1)
 
 
+@pytest.mark.parametrize("kind", [np.uint32, np.uint64])
+def test_arrays_and_steps_round_trip(kind):
+    rng = np.random.default_rng(3)
+    sizes = np.array([0, 3, 1, 0, 40, 0], np.uint32)
+    top = np.iinfo(kind).max
+    values = np.concatenate([np.sort(rng.integers(0, top, n, kind, endpoint=True)) for n in sizes])
+    values[-1] = top
+    floats = rng.random(7).astype(np.float32)
+    packed = op9._arrays(op9._steps(values, sizes), sizes, floats, np.zeros(0, kind), np.arange(3, dtype=np.uint8))
+    steps, n, f, none, small = op9._read(packed, kind, np.uint32, np.float32, kind, np.uint8)
+    assert np.array_equal(op9._from_steps(steps, n), values) and np.array_equal(f, floats)
+    assert not len(none) and not len(op9._from_steps(none, op9._one(none))) and list(small) == [0, 1, 2]
+
+
+def test_discard_deletes_written_tables_only(spark):
+    kept, gone = (common.stored(spark.range(3), "discard") for _ in range(2))
+    common.discard(gone)
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FILE_NOT_EXIST|FileNotFound"):
+        gone.count()
+    with pytest.raises(KeyError):
+        common.discard(spark.range(3))
+
+
 def test_scored_probabilities_sum_to_one():
     """On the path that scores: over all words, the end and an unknown word, after any word."""
     rng = np.random.default_rng(8)
