@@ -7,7 +7,8 @@ windows that contain an anchor are extended to their full length and looked up b
 their words; the earliest place of each keeps its words, and at all others runs of such windows
 form the maximal repeats whose words are removed.
 
-Texts are dealt into chunks of bounded size by a hash of the id. A chunk sends each distinct hash
+Texts are dealt into chunks of bounded size by a hash of id and text, so one id or missing ids may
+hold many rows. A chunk sends each distinct hash
 once, packed in five bytes, to the bucket of its leading bits, however often a passage occurs, so
 a passage shared by a third of all rows weighs no more than any other; buckets answer with the
 anchors of each chunk, and in the second round with one bit per hash sent. No pairs are formed.
@@ -259,7 +260,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, with_text: bool = False) -
     total = n_chunks(docs, "text", 1)
     n = max(1, -(-total // CHUNK_BYTES))
     bits = max(3, (total // 6_000_000).bit_length())  # about a million hashes in a bucket
-    dealt = in_chunks(source, "doc_id", n)
+    dealt = in_chunks(source, ["doc_id", "text"], n)
     slim = dealt.select("doc_id", "text", "chunk")
     blocks = slim.groupBy("chunk").applyInArrow(tidy_group(_send_blocks(window // 2, bits)), _SENT)
     anchors = blocks.groupBy("bucket").applyInArrow(tidy_group(_find_anchors), _SENT)
