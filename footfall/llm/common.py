@@ -214,15 +214,25 @@ def words_of(texts, fold: bool = False, trim: bool = False, prefix: int = 0) ->
     return Words(join(hashes, np.uint64), start, join(ends, np.int64), first, data, heads)
 
 
+def prefix_sums(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Karp-Rabin sums of all words before each place, and the factor that makes them comparable.
+
+    ``(sums[i + n] - sums[i]) * factor[i]`` is the same for any two equal runs of ``n`` words.
+    """
+    total = len(words.hash)
+    power, inverse = _powers(total + 1)
+    sums = np.zeros(total + 1, np.uint64)
+    np.cumsum(mix(words.hash + np.uint64(0x5851F42D4C957F2D)) * power[:total], out=sums[1:])
+    return sums, inverse
+
+
 def windows(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``n`` words from each word on, and whether they lie in one text."""
     total = len(words.hash)
     whole = np.zeros(total, bool)
     out = np.zeros(total, np.uint64)
     if total >= n:
-        power, inverse = _powers(total + 1)
-        sums = np.zeros(total + 1, np.uint64)
-        np.cumsum(mix(words.hash + np.uint64(0x5851F42D4C957F2D)) * power[:total], out=sums[1:])
+        sums, inverse = prefix_sums(words)
         out[: total - n + 1] = mix((sums[n:] - sums[: total - n + 1]) * inverse[: total - n + 1])
         last = np.repeat(words.first[1:], np.diff(words.first))
         whole = np.arange(total) + n <= last

@@ -135,8 +135,64 @@ def test_decontamination_catches_reordered_passages(spark, docs, empty):
 
 
 def test_tiles_do_not_overlap():
-    p, q = np.array([0, 1, 2, 10, 11]), np.array([0, 1, 2, 1, 2])
-    assert op2.tile(p, q, 3, 8) == (5, 1)
+    # two maximal matches of 5 and 4 words, the second on item words of the first
+    assert op2.tile(np.array([5, 4]), np.array([0, 10]), np.array([0, 1]), 3, 8) == (5, 1)
+    # what is left of a match that is partly taken is marked if it is long enough
+    assert op2.tile(np.array([5, 4]), np.array([0, 10]), np.array([0, 4]), 3, 8) == (8, 2)
+    assert op2.tile(np.array([5, 4]), np.array([0, 10]), np.array([0, 4]), 4, 8) == (5, 1)
+
+
+def plain_tiling(doc, item, width):
+    """(item words under tiles, tiles): the longest common run of free words, again and again."""
+    width = min(width, len(item))
+    used_p, used_q, tiles = set(), set(), 0
+    while True:
+        best = (0, 0, 0)
+        for a in range(len(doc)):
+            for b in range(len(item)):
+                n = 0
+                while (
+                    a + n < len(doc) and b + n < len(item) and doc[a + n] == item[b + n]
+                    and a + n not in used_p and b + n not in used_q
+                ):
+                    n += 1
+                best = min(best, (-n, a, b))
+        n, a, b = -best[0], *best[1:]
+        if n < max(width, 1):
+            return len(used_q), tiles
+        used_p.update(range(a, a + n))
+        used_q.update(range(b, b + n))
+        tiles += 1
+
+
+def test_tiling_like_plain(spark, monkeypatch):
+    monkeypatch.setattr(op2, "_MATCHES", 50)
+    rng = np.random.default_rng(11)
+    text = lambda n, k: " ".join(f"w{x}" for x in rng.integers(0, k, n))
+    rows = [(i, text(rng.integers(0, 40), k)) for i, k in enumerate([1, 1, 2, 2, 2, 3, 3, 3, 3])] + [(3, "w0 " * 30), (None, "W1 w0 " * 9)]
+    tests = [(i, text(n, k)) for i, (n, k) in enumerate([(1, 1), (3, 2), (12, 1), (20, 2), (20, 2), (25, 3), (25, 3), (0, 1)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(tests, "item_id long, text string")
+    want = Counter()
+    for i, t in rows:
+        for j, u in tests:
+            covered, tiles = plain_tiling(split(t, True), split(u, True), 4)
+            if covered and covered >= 0.3 * len(split(u)):
+                want[i, j, len(split(u)), covered, tiles] += 1
+    got = op2.contaminated(docs, items, threshold=0.3, min_match=4)
+    assert Counter(map(tuple, got.drop("coverage").collect())) == want and len(want) > 20
+
+
+def test_tiling_of_one_repeated_word():
+    """Matches grow with the sum of the lengths, not with their product."""
+    seeds = op2.Seeds([1, 2], ["same " * 100, "same " * 20_000], 5)
+    side, words = seeds.by_width[5], common.words_of(pa.array(["same " * 20_000] * 3))
+    place, *ranges = side.beginnings(*common.windows(words, 5), op2._before(words))
+    assert sum((b - a).sum() for a, b in ranges) < 3 * 100_000
+    started = time.perf_counter()
+    got = sorted(seeds.matches(pa.array(["same " * 20_000] * 40), 0.5))
+    assert got == sorted((r, i, n, 1, n) for r in range(40) for i, n in ((0, 100), (1, 20_000)))
+    assert time.perf_counter() - started < 60
 
 
 @pytest.mark.parametrize("window", [20, 5])
