@@ -54,7 +54,6 @@ def user_rfm(
     end: str = DATE_END,
     cart_weight: float | str | Decimal = "0.3",
     labels: Sequence[str] = SEGMENT_LABELS,
-    accuracy: int = 10000,
 ) -> DataFrame:
     """Recency, frequency and monetary value of every buyer, scored against the medians.
 
@@ -63,8 +62,11 @@ def user_rfm(
     falls back to 1, as does a frequency or monetary median of 0. ``labels`` holds one name per
     combination of high and low scores, recency-frequency-monetary high first.
 
-    The three medians come from one aggregation and enter as a scalar subquery, without a trip
-    through the driver. Carts are weighted in decimal so that the value is exact.
+    The three medians are exact: the smallest value that half of the buyers do not exceed. They
+    come from one aggregation and enter as a scalar subquery, without a trip through the driver.
+    It counts buyers per distinct value, and there are few of those: days, and values whose sum is
+    at most the number of events, so their number grows with the root of it. Carts are weighted
+    in decimal so that the value is exact.
     """
     bought, carted = amount(rel, "buy"), amount(rel, "cart")
     buyers = (
@@ -87,7 +89,7 @@ def user_rfm(
     medians = measured.agg(
         F.struct(
             *(
-                F.percentile_approx(c, 0.5, accuracy).alias(c)
+                F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})").alias(c)
                 for c in ("recency", "frequency", "monetary")
             )
         )

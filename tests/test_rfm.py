@@ -83,3 +83,15 @@ def test_sample_is_repeatable_and_bounded(people):
     assert rows(feeds.rfm_sample(rfm, 4, seed=7)) != first
     everyone = rows(feeds.rfm_sample(rfm))
     assert len(everyone) == 9 and all(r[4] == r[3] * 3 + 10 for r in everyone)
+
+
+def test_medians_are_exact_over_many_different_values(spark):
+    n = 60_001  # one buyer for each frequency from 1 to n, in no order
+    days = spark.range(n, numPartitions=7).selectExpr(
+        "(id * 7919) % 60001 + 1 AS user_id", "'2024-03-01' AS event_date",
+        "0L AS pv_count", "0L AS fav_count", "0L AS cart_count", "(id * 7919) % 60001 + 1 AS buy_count",
+    )
+    scored = op.user_rfm(days, END)
+    middle = (n + 1) // 2
+    assert scored.filter(scored.f_score >= 2).agg({"user_id": "min"}).first()[0] == middle
+    assert scored.filter(scored.m_score >= 2).agg({"user_id": "min"}).first()[0] == middle
