@@ -33,6 +33,8 @@ def land_batches(
 _COUNTERS = columns(files=LONG, rows=LONG, open_rows=LONG)
 #: The bits of a monotonically increasing id that number the rows of a partition.
 _ROW_BITS = (1 << 33) - 1
+#: Files that one task writes; a small file costs its creation, not its bytes.
+_FILES_A_TASK = 32
 
 
 class LimitReached(Exception):
@@ -84,9 +86,11 @@ class NumberedFiles:
     def _open(self, spark: SparkSession, number: int) -> DataFrame:
         return spark.read.schema(RAW).parquet(f"{self.state}/open/{number}")
 
-    def _write_files(self, rows: DataFrame) -> None:
-        # all rows of a file meet in one task, so each folder gets one file
-        writer = rows.repartition("batch").write.partitionBy("batch").mode("overwrite")
+    def _write_files(self, rows: DataFrame, files: int) -> None:
+        # All rows of a file meet in one task, so each folder gets one file. The number of tasks is
+        # given, as adaptive execution would merge so few bytes into one task, whatever the files.
+        tasks = -(-files // _FILES_A_TASK)
+        writer = rows.repartition(tasks, "batch").write.partitionBy("batch").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").csv(self.path)
 
     def write(self, batch: DataFrame, number: int) -> None:
@@ -120,7 +124,7 @@ class NumberedFiles:
             *RAW.names, (F.lit(files + 1) + F.floor(place / self.file_rows)).alias("batch")
         )
         if done:
-            self._write_files(rows.filter(F.col("batch") <= files + done))
+            self._write_files(rows.filter(F.col("batch") <= files + done), done)
         left = rows.filter(F.col("batch") > files + done).drop("batch")
         left.write.mode("overwrite").parquet(f"{self.state}/open/{number}")
         counters = (files + done, taken + total - waiting, total - done * self.file_rows)
@@ -134,7 +138,7 @@ class NumberedFiles:
             return
         files, taken, waiting = self._counters(spark, self.last)
         if waiting:
-            self._write_files(self._open(spark, self.last).withColumn("batch", F.lit(files + 1)))
+            self._write_files(self._open(spark, self.last).withColumn("batch", F.lit(files + 1)), 1)
             self._keep(spark, self.last, (files + 1, taken, 0))
 
 

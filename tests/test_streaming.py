@@ -287,6 +287,15 @@ def test_a_repeated_batch_writes_the_same_files(spark, raw_of, tmp_path):
     assert got == sorted(sum((rows(b) for b in batches), []))
 
 
+def test_many_small_files_are_written_by_many_tasks(spark, raw_of, tmp_path):
+    writer = streaming.NumberedFiles(str(tmp_path / "numbered"), str(tmp_path / "numbered-checkpoint"), 1)
+    events = [event(u, "pv", u) for u in range(100)]
+    writer.write(raw_of(*events), 0)
+    names = [f.name for f in (tmp_path / "numbered").glob("batch=*/part-*.csv")]
+    assert len(names) == 100 and len({n.split("-")[1] for n in names}) > 1
+    assert landed(spark, tmp_path) == ([(n, 1) for n in range(1, 101)], sorted(events))
+
+
 @pytest.mark.parametrize("every", [None, "200 milliseconds"])
 def test_row_limit_holds_over_restarts(spark, feed, tmp_path, every):
     for k in range(4):
