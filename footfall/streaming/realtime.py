@@ -126,7 +126,8 @@ def start_with_late(
         changed.select(*WINDOWED.names).write.mode("overwrite").parquet(f"{path}/windows/batch={number}")
         keys = changed.select("window_start", F.col("behavior").alias("counted"))
         same = [batch["window_start"] == keys["window_start"], batch["behavior"].eqNullSafe(keys["counted"])]
-        late = batch.filter(F.col("count").isNull()).join(keys, same, "left_anti")
+        # merged where they lie: a batch may change so many windows that they burden the driver
+        late = batch.filter(F.col("count").isNull()).join(keys.hint("merge"), same, "left_anti")
         late.select(*LATE.names).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
         batch.unpersist()
 

@@ -407,6 +407,23 @@ def test_console_sink_runs_in_update_mode(spark, feed, tmp_path):
     assert first.stateOperators[0].numRowsUpdated == 3  # an event falls into three windows
 
 
+def test_late_events_send_no_windows_through_the_driver(spark, feed, tmp_path, monkeypatch):
+    feed(event(1, "pv", 0), event(2, "buy", 4))
+    frame = type(spark.range(1))
+    plans, join = [], frame.join
+
+    def joined(*args):
+        plans.append(join(*args))
+        return plans[-1]
+
+    monkeypatch.setattr(frame, "join", joined)
+    events = streaming.decode_messages(streaming.file_messages(spark, feed.folder))
+    out = str(tmp_path / "result")
+    streaming.start_with_late(events, out, str(tmp_path / "late-checkpoint"), every=None).awaitTermination()
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_interrupt_stops_the_query(spark, feed, tmp_path, monkeypatch):
     feed(event(1, "pv", 0))
     query, files = numbered(spark, feed, tmp_path, 8, every="200 milliseconds")
