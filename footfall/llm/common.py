@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from contextlib import contextmanager
 from functools import wraps
 from inspect import signature
 from pathlib import Path
@@ -30,6 +31,17 @@ def ship(spark: SparkSession) -> SparkSession:
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffle_files_dropped(spark: SparkSession):
+    """Drop the shuffle files of what is executed here as soon as it ends."""
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared folder and read it back.
 
@@ -37,12 +49,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label) + "/table"
-    before = spark.conf.get(_CLEAN_UP, "false")
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
+    with shuffle_files_dropped(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
     table = spark.read.schema(df.schema).parquet(path)
     _PATHS[table] = path
     return table

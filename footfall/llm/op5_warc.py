@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import stored
+from footfall.llm.common import shuffle_files_dropped, stored
 from footfall.session import scratch_dir
 
 ARCHIVE_BYTES = 8 << 20
@@ -104,9 +104,11 @@ def write_archives(pages: DataFrame, root: str, min_bytes: int = 1000) -> DataFr
     # ties are rows alike in every indexed column, so they can change places
     order = ["page_id", "payload_digest", "url"]
     body = F.when(F.col("record_type") == "revisit", "").otherwise(F.concat(F.lit(_HTTP), "payload"))
-    records.sortWithinPartitions("archive", *order).select(
+    bodies = records.sortWithinPartitions("archive", *order).select(
         "archive", F.concat("header", body).alias("value")
-    ).write.partitionBy("archive").text(f"{root}/archives", compression="gzip", lineSep=END)
+    )
+    with shuffle_files_dropped(pages.sparkSession):
+        bodies.write.partitionBy("archive").text(f"{root}/archives", compression="gzip", lineSep=END)
     before = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     narrow = records.select("archive", "page_id", "url", "payload_digest", "length")
     return narrow.withColumn(
@@ -169,13 +171,17 @@ def _read(with_payload: bool):
 
 
 def read_archives(
-    spark: SparkSession, root: str, selected: DataFrame, with_payload: bool = True
+    spark: SparkSession, root: str, selected: DataFrame, with_payload: bool = True, most: bool = False
 ) -> DataFrame:
     """The ``selected`` rows of an index as records, one read of each archive they touch.
 
-    An archive's index entries are bounded by its size, so a group fits in one task.
+    An archive's index entries are bounded by its size, so a group fits in one task. Few entries
+    may be sent to the archives. With ``most``, for selections as large as the index, they always
+    meet in a shuffle, so that the plan, and the disk it takes a byte, is the same at every size.
     """
     places = selected.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
+    if most:
+        places = places.hint("merge")
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "part-*")
@@ -193,4 +199,4 @@ def round_trip(pages: DataFrame, min_bytes: int = 1000, with_payload: bool = Fal
     spark = pages.sparkSession
     root = scratch_dir(spark, "warc")
     index = stored(write_archives(pages, root, min_bytes), "warc-index")
-    return read_archives(spark, root, index, with_payload)
+    return read_archives(spark, root, index, with_payload, most=True)
