@@ -283,6 +283,39 @@ def test_top_k_with_repeated_query_ids(spark):
     assert got == want
 
 
+def test_top_k_of_many_blocks_sends_none_through_the_driver(spark, monkeypatch):
+    """Every block of queries goes to every part of the candidates: by shuffles, never by a broadcast of all copies."""
+    for name, n in {"BLOCK": 16, "QUERY_BLOCK": 8, "TOGETHER": 2, "SPREAD": 3}.items():
+        monkeypatch.setattr(op4, name, n, raising=False)
+    plans, write = [], op4.stored
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(op4, "stored", lambda df, label: plans.append(plan(df)) or write(df, label))
+    rng = np.random.default_rng(6)
+    vectors = [(k, [float(x) for x in rng.normal(size=5 + k % 2) * 10.0 ** (k % 3)]) for k in range(400)]
+    df = ship(spark).createDataFrame(vectors, "vec_id long, embedding array<double>")
+    ints = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in vectors]
+    want = set()
+    for q, own in ints[::7]:
+        best = sorted((-int(own @ v), i) for i, v in ints if i != q and len(v) == len(own))[:20]
+        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    got = op4.top_k(df, df.where("vec_id % 7 = 0"))
+    assert {tuple(r) for r in got.collect()} == want
+    assert not any("Broadcast" in x or "CartesianProduct" in x for x in [*plans, plan(got)])
+
+
+def test_top_k_ties_beyond_the_limits_of_long(spark):
+    """Products that saturate tie, whatever they were; the smaller ids count."""
+    vectors = [(k, [(k + 1) * 2.0**50]) for k in range(10)] + [(10 + k, [(k - 10) * 2.0**50]) for k in range(10)]
+    df = ship(spark).createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = op4.top_k(df, df.where("vec_id in (8, 18)"), k=4).collect()
+    top = (1 << 63) - 1
+    assert {tuple(r) for r in got} == {
+        (q, rank + 1, i, top) for q, ids in ((8, range(4)), (18, range(10, 14))) for rank, i in enumerate(ids)
+    }
+    below = op4.top_k(df.where("vec_id in (9, 10, 11, 12)"), df.where("vec_id = 9"), k=2).collect()
+    assert {tuple(r) for r in below} == {(9, 1, 10, -(1 << 63)), (9, 2, 11, -(1 << 63))}
+
+
 def test_packing_encodes_no_kept_word_again(monkeypatch):
     from tokenizers import Tokenizer
 
